@@ -1,4 +1,4 @@
-"""Money and ratios. Money is summed and rounded as decimal, so totals do not depend on row order."""
+"""Money and ratios. Money is summed in whole cents, so totals do not depend on row order."""
 
 from __future__ import annotations
 
@@ -14,12 +14,27 @@ def money(amount: str | Column) -> Column:
     return col.cast("decimal(18,2)")
 
 
+def cents(amount: str | Column) -> Column:
+    """The amount in whole cents.
+
+    Whole numbers add up exactly in any order, several times faster than decimals. A total may reach
+    92 quadrillion; beyond that Spark raises an error in its default (ANSI) mode.
+    """
+    col = F.col(amount) if isinstance(amount, str) else amount
+    return F.rint(col * 100).cast("bigint")
+
+
+def from_cents(total: Column) -> Column:
+    """A total in cents as a double amount, by way of an exact decimal."""
+    return (total.cast("decimal(36,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("double")
+
+
 def money_sum(amount: str | Column) -> Column:
     """Exact total, handed back as a double."""
-    return F.sum(money(amount)).cast("double")
+    return from_cents(F.sum(cents(amount)))
 
 
-def money_avg(amount: str | Column) -> Column:
+def money_avg(amount: str) -> Column:
     """Exact total over the count of amounts, as a double."""
     return money_sum(amount) / F.count(amount)
 

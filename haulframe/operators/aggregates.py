@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from haulframe.functions.numeric import from_cents
+
 # Rank error of the quartiles is at most rows / QUARTILE_ACCURACY; the sketch stays bounded.
 QUARTILE_ACCURACY = 100_000
 
 
-def subtotals(base: DataFrame, keys: list[str], amount: str, rows: str, cube: bool = False) -> DataFrame:
+def subtotals(base: DataFrame, keys: list[str], cents: str, rows: str, cube: bool = False) -> DataFrame:
     """Sum and average per key combination with subtotals, and the grouping id that tells them apart.
 
-    ``amount`` is an exact (decimal) partial sum and ``rows`` the number of rows in it. Both are first
-    added up per full key, so the copies that a roll-up makes of its input are copies of that small
-    result.
+    ``cents`` is a partial sum in whole cents and ``rows`` the number of rows in it. Both are first added
+    up per full key, so the copies that a roll-up makes of its input are copies of that small result.
     """
-    fine = base.groupBy(*keys).agg(F.sum(amount).alias("_sum"), F.sum(rows).alias("_n"))
+    fine = base.groupBy(*keys).agg(F.sum(cents).alias("_sum"), F.sum(rows).alias("_n"))
     grouped = fine.cube(*keys) if cube else fine.rollup(*keys)
-    total = F.sum("_sum").cast("double")
+    total = from_cents(F.sum("_sum"))
     return grouped.agg(
         total.alias("sumamt"),
         (total / F.sum("_n")).alias("avgamt"),
@@ -54,10 +57,19 @@ def _is_numeric(kind: str) -> bool:
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, standard deviation, minimum and maximum, one row per column, in one scan."""
+    """Count, mean, standard deviation, minimum and maximum, one row per column.
+
+    Numbers and texts are aggregated apart: each column is still read once, and the numeric part stays
+    in a hash aggregate, which text minimums would prevent.
+    """
     kinds = dict(df.dtypes)
-    stats = [s for c in columns for s in _basic(c, _is_numeric(kinds[c]))]
-    return _unpivot(df.agg(*stats), columns, ["count", "mean", "stddev", "min", "max"])
+    parts = []
+    for numeric in (True, False):
+        named = [c for c in columns if _is_numeric(kinds[c]) == numeric]
+        if named:
+            stats = [s for c in named for s in _basic(c, numeric)]
+            parts.append(_unpivot(df.agg(*stats), named, ["count", "mean", "stddev", "min", "max"]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def profile_with_quartiles(df: DataFrame, columns: list[str], accuracy: int = QUARTILE_ACCURACY) -> DataFrame:

@@ -10,22 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from haulframe.functions.numeric import cents, from_cents
 
 # A lookup side is collected and broadcast only up to this many rows.
 LOOKUP_ROWS = 10_000
 
 
-def lookup(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join with a side that is probably small, on null-safe keys, without moving ``df`` if it is.
+def lookup(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner", null_safe: bool = False) -> DataFrame:
+    """Join with a side that is probably small, without moving ``df`` if it is.
 
     The side is worked out once, reading at most LOOKUP_ROWS + 1 rows. Up to that size it is
     broadcast; beyond it the join is an ordinary one that Spark plans by size.
     """
     renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in on], *[c for c in small.columns if c not in on])
-    rows = renamed.limit(LOOKUP_ROWS + 1).collect()
-    if len(rows) <= LOOKUP_ROWS:
+    rows = renamed.limit(LOOKUP_ROWS + 1).toArrow()
+    if rows.num_rows <= LOOKUP_ROWS:
         renamed = F.broadcast(df.sparkSession.createDataFrame(rows, renamed.schema))
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in on]
+    pairs = [(F.col(k), F.col(f"_k_{k}")) for k in on]
+    same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
     return df.join(renamed, same, how).drop(*[f"_k_{k}" for k in on])
 
 
@@ -61,13 +63,13 @@ def peers_per_member(staff: DataFrame, hub: str, member: str) -> DataFrame:
     hubs = rows.groupBy(hub).agg(
         F.sum("_own").alias("_all"), F.min(member).alias("_low"), F.max(member).alias("_high")
     )
-    inner = rows.join(hubs, hub)
+    inner = lookup(rows, hubs, [hub])
     second = inner.groupBy(hub).agg(
         F.min(F.when(F.col(member) != F.col("_low"), F.col(member))).alias("_low2"),
         F.max(F.when(F.col(member) != F.col("_high"), F.col(member))).alias("_high2"),
     )
     return (
-        inner.join(second, hub)
+        lookup(inner, second, [hub])
         .where(F.col("_all") > F.col("_own"))
         .select(
             F.col(member),
@@ -91,7 +93,7 @@ def with_each_of_top(df: DataFrame, report: DataFrame, order: list[Column], k: i
 
 
 def totals_across(
-    left: DataFrame, right: DataFrame, on: str, amount: Column, left_name: str, right_name: str
+    left: DataFrame, right: DataFrame, on: str, amount: str, left_name: str, right_name: str
 ) -> DataFrame:
     """Totals of a many-to-many join per key, without building its rows.
 
@@ -99,11 +101,11 @@ def totals_across(
     of ``amount`` (a right column) over all pairs follow by multiplication.
     """
     a = left.groupBy(on).agg(F.count("*").alias(left_name))
-    b = right.groupBy(on).agg(F.count("*").alias(right_name), F.sum(amount).alias("_sum"))
+    b = right.groupBy(on).agg(F.count("*").alias(right_name), F.sum(cents(amount)).alias("_sum"))
     return a.join(b, on).select(
         on,
         left_name,
         right_name,
         (F.col(left_name) * F.col(right_name)).alias("pairs"),
-        (F.col("_sum") * F.col(left_name)).alias("pair_amount"),
+        from_cents(F.col("_sum").cast("decimal(20,0)") * F.col(left_name).cast("decimal(18,0)")).alias("pair_amount"),
     )

@@ -31,13 +31,21 @@ def top_rows(df: DataFrame, group: list[str], order: list[Column], n: int, name:
 def top_values(df: DataFrame, group: list[str], value: str, n: int, name: str = "rank") -> DataFrame:
     """Rows whose value is among the ``n`` highest distinct values of their group (dense rank).
 
-    Any number of rows may share a value. The distinct values are ranked, and rows are then matched
-    with the ranked values, so tied rows are never gathered in one task.
+    Any number of rows may share a value, so rows are never ranked group by group. Each task first
+    keeps the rows with its own n highest values, their distinct values are ranked per group, and all
+    rows are then matched with the few ranked values.
     """
-    values = df.select(*group, value).distinct()
-    w = Window.partitionBy(*group).orderBy(F.col(value).desc())
-    ranked = values.withColumn(name, F.dense_rank().over(w)).where(F.col(name) <= n)
-    return lookup(df, ranked, [*group, value])
+    down = F.col(value).desc()
+    candidates = (
+        df.select(*group, value)
+        .withColumn("_task", F.spark_partition_id())
+        .withColumn("_near", F.dense_rank().over(Window.partitionBy(*group, "_task").orderBy(down)))
+        .where(F.col("_near") <= n)
+        .select(*group, value)
+        .distinct()
+    )
+    ranked = candidates.withColumn(name, F.dense_rank().over(Window.partitionBy(*group).orderBy(down)))
+    return lookup(df, ranked.where(F.col(name) <= n), [*group, value], null_safe=True)
 
 
 def large_groups(
@@ -57,19 +65,19 @@ def large_groups(
         .where(F.col("_n") > split_rows * fraction)
         .orderBy(F.col("_n").desc())
         .limit(MAX_SPLIT)
-        .collect()
+        .toArrow()
     )
-    if not largest:
+    if largest.num_rows == 0:
         return None
     spark = df.sparkSession
-    key_schema = df.select(*keys).schema
-    hot = spark.createDataFrame([tuple(row[k] for k in keys) for row in largest], key_schema)
-    pieces = min(MAX_PIECES, max(2, round(2 * largest[0]["_n"] / (split_rows * fraction))))
+    hot = spark.createDataFrame(largest.select(keys), df.select(*keys).schema)
+    most = largest["_n"][0].as_py()
+    pieces = min(MAX_PIECES, max(2, round(2 * most / (split_rows * fraction))))
     position = F.unix_seconds(F.col(order).cast("timestamp")).cast("double")
     cuts = _match(sample, hot, keys).groupBy(*keys).agg(
         F.array_distinct(F.percentile_approx(position, [i / pieces for i in range(1, pieces)], 2_000)).alias("_cuts")
     )
-    return spark.createDataFrame(cuts.collect(), cuts.schema)
+    return spark.createDataFrame(cuts.toArrow(), cuts.schema)
 
 
 def _match(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -135,9 +143,9 @@ def neighbours(
         made[following] = F.lead(value).over(w)
     out = _match(cut.withColumns(made), ends, [*keys, "_piece"], "left")
     if previous:
-        out = out.withColumn(previous, F.when("_is_first", F.col("_before")).otherwise(F.col(previous)))
+        out = out.withColumn(previous, F.when(F.col("_is_first"), F.col("_before")).otherwise(F.col(previous)))
     if following:
-        out = out.withColumn(following, F.when("_is_last", F.col("_after")).otherwise(F.col(following)))
+        out = out.withColumn(following, F.when(F.col("_is_last"), F.col("_after")).otherwise(F.col(following)))
     return out.drop("_piece", "_is_first", "_is_last", "_before", "_after")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import money, money_sum
+from haulframe.functions.numeric import cents, from_cents, money_avg, money_sum
 from haulframe.operators import aggregates
 from haulframe.plans import inputs as src
 from haulframe.plans.registry import query
@@ -60,11 +60,11 @@ def agg_group_count_distinct(spark, sf_dir):
 )
 def agg_group_sum(spark, sf_dir):
     # Lines are added up per order before they meet the orders.
-    per_order = src.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(money("l_quantity")).alias("kg"))
+    per_order = src.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(cents("l_quantity")).alias("kg"))
     orders = src.table(spark, sf_dir, "orders")
     joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey)
     grouped = joined.groupBy(F.col("o_orderpriority").alias("fleet_class"))
-    return grouped.agg(F.sum("kg").cast("double").alias("sum_weight_kg"))
+    return grouped.agg(from_cents(F.sum("kg")).alias("sum_weight_kg"))
 
 
 def hub_costs(spark, sf_dir):
@@ -72,7 +72,7 @@ def hub_costs(spark, sf_dir):
     per_member = (
         src.shipments(spark, sf_dir)
         .groupBy("staff_id", "fleet_class")
-        .agg(F.sum(money("shipment_cost")).alias("cost"), F.count("*").alias("n"))
+        .agg(F.sum(cents("shipment_cost")).alias("cost"), F.count("*").alias("n"))
     )
     hubs = src.staff(spark, sf_dir).select("staff_id", "origin_hub_city")
     return per_member.join(hubs, "staff_id")
@@ -137,9 +137,5 @@ def agg_summary(spark, sf_dir):
     "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS avgamt FROM orders GROUP BY o_orderstatus",
 )
 def agg_sum_avg(spark, sf_dir):
-    total = money_sum("o_totalprice")
-    return (
-        src.table(spark, sf_dir, "orders")
-        .groupBy("o_orderstatus")
-        .agg(total.alias("sumamt"), (total / F.count("o_totalprice")).alias("avgamt"))
-    )
+    by_status = src.table(spark, sf_dir, "orders").groupBy("o_orderstatus")
+    return by_status.agg(money_sum("o_totalprice").alias("sumamt"), money_avg("o_totalprice").alias("avgamt"))

@@ -9,12 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from haulframe.functions.numeric import money
+from haulframe.functions.numeric import money_sum
+
+
+_schemas: dict[tuple[str, str], StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from the file once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.conf.get("spark.app.id", ""), path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +183,7 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kilograms per order; lines that came back weigh nothing, so the weight may be zero."""
     kept = F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).otherwise(0.0)
     return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.sum(money(kept)).cast("double").alias("shipment_weight_kg")
+        money_sum(kept).alias("shipment_weight_kg")
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import money
 from haulframe.operators import joins
 from haulframe.plans import inputs as src
 from haulframe.plans.registry import query
@@ -132,7 +131,6 @@ _HUB_SHIPMENTS_SQL = (
 def join_many_to_many(spark, sf_dir):
     staff = _staff(spark, sf_dir).select("staff_id", "origin_hub_city")
     hub_shipments = src.shipments(spark, sf_dir).select("staff_id", "shipment_cost").join(staff, "staff_id")
-    totals = joins.totals_across(
-        staff, hub_shipments, "origin_hub_city", money("shipment_cost"), "staff_rows", "shipment_rows"
+    return joins.totals_across(
+        staff, hub_shipments, "origin_hub_city", "shipment_cost", "staff_rows", "shipment_rows"
     )
-    return totals.withColumn("pair_amount", F.col("pair_amount").cast("double"))

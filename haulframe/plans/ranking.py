@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import money
+from haulframe.functions.numeric import money_sum
 from haulframe.operators import windows
 from haulframe.plans import inputs as src
 from haulframe.plans.registry import query
@@ -52,7 +52,7 @@ def top_drivers_per_hub(spark, sf_dir):
     per_member = (
         src.shipments(spark, sf_dir)
         .groupBy("staff_id")
-        .agg(F.sum(money("shipment_cost")).cast("double").alias("total_shipment_cost"))
+        .agg(money_sum("shipment_cost").alias("total_shipment_cost"))
     )
     hubs = src.staff(spark, sf_dir).select("staff_id", "origin_hub_city")
     order = [F.desc("total_shipment_cost"), F.asc("staff_id")]
