@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,12 +13,19 @@ LAYOUTS = ("dd-MM-yy", "dd-MM-yyyy", "yyyy/MM/dd", "yyyy-MM-dd")
 SATURDAY, SUNDAY = 7, 1
 
 
-def parse_date(text: str | Column, layouts: tuple[str, ...] = LAYOUTS, latest: str | None = None) -> Column:
+def _shape(layout: str) -> str:
+    """The pattern of texts in a layout: its letters stand for digits."""
+    return "^" + re.sub("[A-Za-z]", r"\\d", layout) + "$"
+
+
+def parse_date(text: str, layouts: tuple[str, ...] = LAYOUTS, latest: str | None = None) -> Column:
     """The first layout that fits; null when none does.
 
-    A two-digit year is read as 20xx. Give ``latest`` to roll dates after it back by a century.
+    A text is only parsed in a layout whose shape it has: a parse that fails is far dearer than the
+    look at the shape. A two-digit year is read as 20xx. Give ``latest`` to roll dates after it back
+    by a century.
     """
-    parsed = F.coalesce(*[F.try_to_date(text, layout) for layout in layouts])
+    parsed = F.coalesce(*[F.when(F.col(text).rlike(_shape(x)), F.try_to_date(text, x)) for x in layouts])
     if latest is None:
         return parsed
     return F.when(parsed > F.lit(latest).cast("date"), F.add_months(parsed, -1200)).otherwise(parsed)

@@ -1,16 +1,17 @@
-"""Aggregation steps. All of them combine on the map side first."""
+"""Aggregation steps. All of them combine on the map side first, and leave little to merge."""
 
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulframe.functions.numeric import from_cents
 
-# Rank error of the quartiles is at most rows / QUARTILE_ACCURACY; the sketch stays bounded.
-QUARTILE_ACCURACY = 100_000
+# Bins per pass of the quantile search.
+BINS = 10_000
 
 
 def subtotals(base: DataFrame, keys: list[str], cents: str, rows: str, cube: bool = False) -> DataFrame:
@@ -72,12 +73,74 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def profile_with_quartiles(df: DataFrame, columns: list[str], accuracy: int = QUARTILE_ACCURACY) -> DataFrame:
-    """The profile of numeric columns with the quartiles beside it, still one scan."""
-    stats = [s for c in columns for s in _basic(c, True)]
+def quantiles(df: DataFrame, columns: list[str], shares: tuple[float, ...]) -> dict[str, list[float | None]]:
+    """Exact quantiles: the smallest value with at least that share of the values up to it.
+
+    Each pass cuts the range that holds a quantile into BINS equal bins, counts them in one small
+    aggregate, and goes on in the bin with the wanted rank, until a bin has a single value. A pass
+    narrows the range at least BINS-fold, so a handful is enough, and nothing but counts is collected.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    ends = numbers.agg(
+        *[f(c).alias(f"{c}_{i}") for c in columns for i, f in enumerate((F.min, F.max, F.count))]
+    ).first()
+    found: dict[tuple[str, float], float | None] = {}
+    open_spans = {}
     for c in columns:
-        quartiles = F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
-        stats += [quartiles[i].cast("double").alias(f"{c}__p{p}") for i, p in enumerate((25, 50, 75))]
-    return _unpivot(
-        df.agg(*stats), columns, ["count", "mean", "stddev", "min", "p25", "p50", "p75", "max"]
+        low, high, n = (ends[f"{c}_{i}"] for i in range(3))
+        for share in shares:
+            if n == 0 or low == high:
+                found[c, share] = low
+            else:
+                open_spans[c, share] = (low, high, max(1, ceil(share * n)))
+    while open_spans:
+        spans = sorted({(c, low, high) for (c, _), (low, high, _) in open_spans.items()})
+        counted = _count_bins(numbers, spans)
+        for (c, share), (low, high, rank) in list(open_spans.items()):
+            for _, low_value, high_value, n in counted[spans.index((c, low, high))]:
+                if rank <= n:
+                    break
+                rank -= n
+            if low_value == high_value:
+                found[c, share] = low_value
+                del open_spans[c, share]
+            else:
+                open_spans[c, share] = (low_value, high_value, rank)
+    return {c: [found[c, share] for share in shares] for c in columns}
+
+
+def _count_bins(numbers: DataFrame, spans: list[tuple[str, float, float]]) -> dict[int, list[tuple]]:
+    """Per span, its bins in order: number, smallest and largest value, count."""
+    inside = [
+        F.when(
+            F.col(c).between(low, high),
+            F.struct(
+                F.lit(i).alias("span"),
+                F.floor(F.least(F.lit(BINS - 1.0), (F.col(c) - low) / (high - low) * BINS)).alias("bin"),
+                F.col(c).alias("value"),
+            ),
+        )
+        for i, (c, low, high) in enumerate(spans)
+    ]
+    bins = (
+        numbers.select(F.inline(F.array_compact(F.array(*inside))))
+        .groupBy("span", "bin")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n"))
+        .collect()
     )
+    found: dict[int, list[tuple]] = {i: [] for i in range(len(spans))}
+    for row in sorted(bins):
+        found[row["span"]].append((row["bin"], row["low"], row["high"], row["n"]))
+    return found
+
+
+def profile_with_quartiles(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The profile of numeric columns with exact quartiles beside it."""
+    points = quantiles(df, columns, (0.25, 0.5, 0.75))
+    base = profile(df, columns)
+
+    def point(i: int) -> Column:
+        pairs = [F.when(F.col("column_name") == c, F.lit(points[c][i])) for c in columns]
+        return F.coalesce(*pairs).cast("double")
+
+    return base.withColumns({f"p{p}": point(i) for i, p in enumerate((25, 50, 75))})

@@ -41,7 +41,8 @@ def agg_dedup_counts(spark, sf_dir):
     f"WITH {src.STAFF_SQL} SELECT origin_hub_city, count(*) AS total_staff FROM staff GROUP BY origin_hub_city",
 )
 def agg_group_count(spark, sf_dir):
-    return src.staff(spark, sf_dir).groupBy("origin_hub_city").agg(F.count("*").alias("total_staff"))
+    per_hub = src.crew(spark, sf_dir).groupBy("place_key").agg(F.count("*").alias("total_staff"))
+    return src.name_hubs(per_hub, spark, sf_dir)
 
 
 @query(
@@ -68,14 +69,18 @@ def agg_group_sum(spark, sf_dir):
 
 
 def hub_costs(spark, sf_dir):
-    """Cost per staff member and fleet class with the hub: summed per member before the join."""
+    """Cost per hub and fleet class: summed per member before the join, per hub before the naming."""
     per_member = (
         src.shipments(spark, sf_dir)
         .groupBy("staff_id", "fleet_class")
         .agg(F.sum(cents("shipment_cost")).alias("cost"), F.count("*").alias("n"))
     )
-    hubs = src.staff(spark, sf_dir).select("staff_id", "origin_hub_city")
-    return per_member.join(hubs, "staff_id")
+    per_hub = (
+        per_member.join(src.crew(spark, sf_dir), "staff_id")
+        .groupBy("place_key", "fleet_class")
+        .agg(F.sum("cost").alias("cost"), F.sum("n").alias("n"))
+    )
+    return src.name_hubs(per_hub, spark, sf_dir)
 
 
 _HUB_COSTS_SQL = (

@@ -133,9 +133,9 @@ def pipe_silver_staff(spark, sf_dir):
 def raw_shipments(spark, sf_dir) -> DataFrame:
     """Shipments as they land: text dates and weights, upper-case status."""
     ships, weights = src.shipments(spark, sf_dir), src.weights(spark, sf_dir)
-    hubs = src.staff(spark, sf_dir).select("staff_id", F.col("origin_hub_city").alias("source_city"))
     weighed = ships.join(weights, ships.shipment_id == weights.l_orderkey, "left").drop("l_orderkey")
-    return weighed.join(hubs, "staff_id").select(
+    placed = weighed.join(src.crew(spark, sf_dir), "staff_id")
+    return src.name_hubs(placed, spark, sf_dir, "source_city").select(
         "shipment_id",
         "order_id",
         "source_city",
@@ -251,20 +251,15 @@ def wide_history(staff: DataFrame, ships: DataFrame) -> DataFrame:
 @query(
     "gold_wide_table",
     f"""WITH {src.STAFF_SQL}, {src.SHIPMENTS_SQL},
-drivers AS (SELECT *, count(*) OVER (PARTITION BY vehicle_type) AS fleet_size,
-                   vehicle_type || '_' || CAST(staff_id AS VARCHAR) AS vehicle_identifier
-            FROM staff WHERE age > 50),
-late AS (SELECT * FROM shipments WHERE shipment_status = 'DELAYED')
-SELECT coalesce(d.staff_id, s.staff_id) AS staff_id, d.staff_name, d.age, d.role, d.origin_hub_city, d.vehicle_type,
-       d.fleet_size, d.vehicle_identifier, s.order_id, s.shipment_status, s.shipment_cost,
+crewed AS (SELECT *, count(*) OVER (PARTITION BY vehicle_type) AS fleet_size,
+                  vehicle_type || '_' || CAST(staff_id AS VARCHAR) AS vehicle_identifier FROM staff)
+SELECT coalesce(c.staff_id, s.staff_id) AS staff_id, c.staff_name, c.age, c.role, c.origin_hub_city, c.vehicle_type,
+       c.fleet_size, c.vehicle_identifier, s.order_id, s.shipment_id, s.shipment_status, s.shipment_cost,
        CAST(year(s.shipment_date) AS INTEGER) AS ship_year
-FROM drivers d FULL JOIN late s ON d.staff_id = s.staff_id""",
+FROM crewed c FULL JOIN shipments s ON c.staff_id = s.staff_id""",
 )
 def gold_wide_table(spark, sf_dir):
-    # Senior staff against delayed shipments: idle staff and unassigned shipments both occur.
-    senior = src.staff(spark, sf_dir).where("age > 50")
-    late = src.shipments(spark, sf_dir).where("shipment_status = 'DELAYED'")
-    wide = wide_history(senior, late).drop("shipment_id", "shipment_date", "fleet_class")
+    wide = wide_history(src.staff(spark, sf_dir), src.shipments(spark, sf_dir)).drop("shipment_date", "fleet_class")
     name = f"{tables.scratch_schema(spark)}.wide_shipment_history"
     tables.save_table(wide, name, "overwrite", partition_by=("ship_year",))
     return spark.sql("SELECT * FROM IDENTIFIER(:t)", args={"t": name})

@@ -44,6 +44,19 @@ places AS (
 )"""
 
 
+def crew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staff with the number of their hub. Numbers are cheaper to move and group by than names."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("staff_id"), F.col("c_nationkey").alias("place_key")
+    )
+
+
+def name_hubs(df: DataFrame, spark: SparkSession, sf_dir: str, name: str = "origin_hub_city") -> DataFrame:
+    """Replace the hub number by its name, as late as possible."""
+    named = places(spark, sf_dir).select("place_key", F.col("hub").alias(name))
+    return df.join(named, "place_key").drop("place_key")
+
+
 def age_of(balance: str = "c_acctbal"):
     return (F.floor(F.abs(F.col(balance)) / 175) + 10).cast("int")
 

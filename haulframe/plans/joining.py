@@ -86,7 +86,8 @@ def join_anti(spark, sf_dir):
     "AND a.staff_id <> b.staff_id GROUP BY a.staff_id, a.origin_hub_city",
 )
 def join_self_theta(spark, sf_dir):
-    return joins.peers_per_member(_staff(spark, sf_dir), "origin_hub_city", "staff_id")
+    peers = joins.peers_per_member(src.crew(spark, sf_dir), "place_key", "staff_id")
+    return src.name_hubs(peers, spark, sf_dir)
 
 
 @query(
@@ -129,8 +130,7 @@ _HUB_SHIPMENTS_SQL = (
     "FROM staff a JOIN hub_shipments b ON a.origin_hub_city = b.origin_hub_city GROUP BY a.origin_hub_city",
 )
 def join_many_to_many(spark, sf_dir):
-    staff = _staff(spark, sf_dir).select("staff_id", "origin_hub_city")
-    hub_shipments = src.shipments(spark, sf_dir).select("staff_id", "shipment_cost").join(staff, "staff_id")
-    return joins.totals_across(
-        staff, hub_shipments, "origin_hub_city", "shipment_cost", "staff_rows", "shipment_rows"
-    )
+    crew = src.crew(spark, sf_dir)
+    hub_shipments = src.shipments(spark, sf_dir).select("staff_id", "shipment_cost").join(crew, "staff_id")
+    totals = joins.totals_across(crew, hub_shipments, "place_key", "shipment_cost", "staff_rows", "shipment_rows")
+    return src.name_hubs(totals, spark, sf_dir)

@@ -16,10 +16,9 @@ _HUB_SQL = (
 
 
 def hub_shipments(spark, sf_dir):
-    """Shipments with the hub of the staff member in charge."""
-    hubs = src.staff(spark, sf_dir).select("staff_id", "origin_hub_city")
+    """Shipments with the hub number of the staff member in charge."""
     costs = src.shipments(spark, sf_dir).select("staff_id", "order_id", "shipment_id", "shipment_cost")
-    return costs.join(hubs, "staff_id")
+    return costs.join(src.crew(spark, sf_dir), "staff_id")
 
 
 @query(
@@ -29,7 +28,8 @@ def hub_shipments(spark, sf_dir):
 )
 def win_topn_row_number(spark, sf_dir):
     order = [F.desc("shipment_cost"), F.asc("shipment_id")]
-    return windows.top_rows(hub_shipments(spark, sf_dir), ["origin_hub_city"], order, 3)
+    top = windows.top_rows(hub_shipments(spark, sf_dir), ["place_key"], order, 3)
+    return src.name_hubs(top, spark, sf_dir)
 
 
 @query(
@@ -38,7 +38,8 @@ def win_topn_row_number(spark, sf_dir):
     "ORDER BY shipment_cost DESC) AS INTEGER) AS rank FROM hub_shipments) WHERE rank <= 3",
 )
 def win_topn_dense_rank(spark, sf_dir):
-    return windows.top_values(hub_shipments(spark, sf_dir), ["origin_hub_city"], "shipment_cost", 3)
+    top = windows.top_values(hub_shipments(spark, sf_dir), ["place_key"], "shipment_cost", 3)
+    return src.name_hubs(top, spark, sf_dir)
 
 
 @query(
@@ -54,9 +55,9 @@ def top_drivers_per_hub(spark, sf_dir):
         .groupBy("staff_id")
         .agg(money_sum("shipment_cost").alias("total_shipment_cost"))
     )
-    hubs = src.staff(spark, sf_dir).select("staff_id", "origin_hub_city")
     order = [F.desc("total_shipment_cost"), F.asc("staff_id")]
-    return windows.top_rows(per_member.join(hubs, "staff_id"), ["origin_hub_city"], order, 3)
+    top = windows.top_rows(per_member.join(src.crew(spark, sf_dir), "staff_id"), ["place_key"], order, 3)
+    return src.name_hubs(top, spark, sf_dir)
 
 
 _TRIPS = ["staff_id", "shipment_id", "shipment_date", "shipment_cost"]

@@ -1,6 +1,7 @@
 """Properties of the steps, and brute-force checks of those that are shaped for large groups."""
 
 import itertools
+import math
 import random
 from collections import Counter
 
@@ -184,11 +185,23 @@ def test_profile(costs):
     assert rows["cost"]["mean"] == round(sum(i * 1.01 for i in range(1, 50)) / 49, 4)
 
 
-def test_quartiles_within_their_error(spark):
-    df = spark.range(100_001).select((F.col("id") * 1.0).alias("x"))
-    row = aggregates.profile_with_quartiles(df, ["x"], accuracy=1000).first()
-    for share, got in ((0.25, row.p25), (0.5, row.p50), (0.75, row.p75)):
-        assert abs(got - share * 100_000) <= 100_001 / 1000
+@pytest.mark.parametrize("bins", [2, 7, 1000])
+def test_quantiles_are_exact(spark, monkeypatch, bins):
+    monkeypatch.setattr(aggregates, "BINS", bins)
+    rng = random.Random(17)
+    rows = [(rng.choice([5.5, 5.5, rng.gauss(0, 1e6), None]), rng.randrange(3), 4, None) for _ in range(700)]
+    df = spark.createDataFrame(rows, "a double, b int, c int, d int")
+    shares = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
+    got = aggregates.quantiles(df, ["a", "b", "c", "d"], shares)
+    for i, name in enumerate("abcd"):
+        values = sorted(r[i] for r in rows if r[i] is not None)
+        want = [values[max(1, math.ceil(q * len(values))) - 1] if values else None for q in shares]
+        assert got[name] == want
+
+
+def test_profile_with_quartiles(spark):
+    row = aggregates.profile_with_quartiles(spark.range(1, 101).withColumnRenamed("id", "x"), ["x"]).first()
+    assert (row["count"], row.p25, row.p50, row.p75, row.max) == (100, 25.0, 50.0, 75.0, "100")
 
 
 # Sets
