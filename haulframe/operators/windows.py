@@ -73,13 +73,26 @@ def large_groups(
     hot = spark.createDataFrame(largest.select(keys), df.select(*keys).schema)
     most = largest["_n"][0].as_py()
     pieces = min(MAX_PIECES, max(2, round(2 * most / (split_rows * fraction))))
-    position = F.unix_seconds(F.col(order).cast("timestamp")).cast("double")
     cuts = _match(sample, hot, keys).groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(position, [i / pieces for i in range(1, pieces)], 2_000)).alias("_cuts")
+        F.array_distinct(F.percentile_approx(_position(order), [i / pieces for i in range(1, pieces)], 2_000)).alias("_cuts")
     )
     return spark.createDataFrame(cuts.toArrow(), cuts.schema)
 
 
+def _position(order: str) -> Column:
+    return F.unix_seconds(F.col(order).cast("timestamp")).cast("double")
+
+
+def _cuts_before(cuts: str, position: Column) -> Column:
+    """How many of the ascending cuts lie before the position, by halving: 9 looks for 511 cuts."""
+    steps = F.array(*[F.lit(MAX_PIECES >> i) for i in range(1, MAX_PIECES.bit_length())])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(F.col(cuts), at + step - 1) < position, at + step).otherwise(at),
+    )
+
+
 def _match(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join with a small frame of bounded size on null-safe keys, keeping the key columns of ``df``."""
     renamed = small.select(*[F.col(k).alias(f"_m_{k}") for k in keys], *[c for c in small.columns if c not in keys])
@@ -114,9 +127,7 @@ def neighbours(
             made[following] = F.lead(value).over(w)
         return df.withColumns(made)
 
-    position = F.unix_seconds(F.col(order).cast("timestamp")).cast("double")
-    piece = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < position)), F.lit(0))
-    piece = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(piece)
+    piece = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(_cuts_before("_cuts", _position(order)))
     cut = _match(df, hot, keys, "left").withColumn("_piece", piece).drop("_cuts")
 
     at = F.struct(order, tie_break)

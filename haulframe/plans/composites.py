@@ -90,9 +90,7 @@ def silver_staff(first: DataFrame, second: DataFrame) -> DataFrame:
     return quality.dedup_by_key(named, ["shipment_id"], order)
 
 
-@query(
-    "pipe_silver_staff",
-    f"""WITH {src.SOURCES_SQL},
+_TIDY_SQL = f"""{src.SOURCES_SQL},
 aligned AS (
   SELECT *, CAST(NULL AS VARCHAR) AS hub_location, CAST(NULL AS VARCHAR) AS vehicle_type, 'system1' AS datasource FROM src1
   UNION ALL SELECT *, 'system2' AS datasource FROM src2
@@ -104,7 +102,12 @@ tidy AS (
          upper(CASE lower(coalesce(vehicle_type, 'UNKNOWN')) WHEN 'truck' THEN 'LMV' WHEN 'bike' THEN 'TwoWheeler'
                ELSE coalesce(vehicle_type, 'UNKNOWN') END) AS vehicle_type, datasource
   FROM aligned WHERE shipment_id IS NOT NULL AND role IS NOT NULL AND (first_name IS NOT NULL OR last_name IS NOT NULL)
-)
+)"""
+
+
+@query(
+    "pipe_silver_staff",
+    f"""WITH {_TIDY_SQL}
 SELECT shipment_id, staff_first_name, staff_last_name, age, role, origin_hub_city, vehicle_type, datasource,
        concat_ws(' ', staff_first_name, staff_last_name) AS full_name,
        CAST(CASE WHEN role = 'driver' AND age > 50 THEN 3000 WHEN role = 'driver' AND age < 30 THEN 500 ELSE 0 END AS DOUBLE)
@@ -207,6 +210,50 @@ def pipe_silver_shipments(spark, sf_dir):
     return silver.drop("ingestion_timestamp")
 
 
+# All records in one layout
+
+
+def aligned_records(staff: DataFrame, ships: DataFrame) -> DataFrame:
+    """Staff and shipments as one set of records in the common column order, one per shipment id.
+
+    One record per id leaves no equal records either, so those need no step of their own.
+    """
+    columns = [
+        "shipment_id",
+        "staff_first_name",
+        "staff_last_name",
+        "role",
+        "origin_hub_city",
+        "shipment_cost",
+        "ingestion_timestamp",
+    ]
+    both = sets.align(staff, ships.withColumn("shipment_id", F.col("shipment_id").cast("string"))).select(*columns)
+    order = [F.col("shipment_cost").desc_nulls_last(), *[F.asc(c) for c in columns if c not in ("shipment_id", "shipment_cost")]]
+    return quality.dedup_by_key(both, ["shipment_id"], order)
+
+
+@query(
+    "pipe_aligned_records",
+    f"""WITH {_TIDY_SQL},
+staff_rows AS (SELECT shipment_id, staff_first_name, staff_last_name, role, origin_hub_city
+               FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY datasource DESC) AS nth FROM tidy)
+               WHERE nth = 1),
+records AS (
+  SELECT *, CAST(NULL AS DOUBLE) AS shipment_cost, false AS has_timestamp FROM staff_rows
+  UNION ALL
+  SELECT CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, NULL, o_totalprice, true FROM orders
+)
+SELECT shipment_id, staff_first_name, staff_last_name, role, origin_hub_city, shipment_cost, has_timestamp
+FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY shipment_cost DESC NULLS LAST) AS nth FROM records)
+WHERE nth = 1""",
+)
+def pipe_aligned_records(spark, sf_dir):
+    staff = silver_staff(src.source1(spark, sf_dir), src.source2(spark, sf_dir))
+    ships = shaping.add_audit(src.shipments(spark, sf_dir)).select("shipment_id", "shipment_cost", "ingestion_timestamp")
+    aligned = aligned_records(staff, ships)
+    return aligned.withColumn("has_timestamp", F.col("ingestion_timestamp").isNotNull()).drop("ingestion_timestamp")
+
+
 # Delay dashboard
 
 

@@ -105,8 +105,11 @@ def test_split_groups_keep_their_pieces_small(spark):
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 365).cast("int")).alias("d"),
         "id",
     )
-    cuts = windows.large_groups(df, ["k"], "d", split_rows=200, fraction=1.0).first()._cuts
-    at = F.unix_seconds(F.col("d").cast("timestamp")).cast("double")
-    piece = sum([(at > c).cast("int") for c in cuts], F.lit(0))
-    sizes = [r[1] for r in df.where("k = -1").groupBy(piece).count().collect()]
+    cuts = windows.large_groups(df, ["k"], "d", split_rows=200, fraction=1.0).drop("k")
+    at = windows._position("d")
+    placed = df.where("k = -1").join(F.broadcast(cuts)).select(
+        windows._cuts_before("_cuts", at).alias("piece"), F.size(F.filter("_cuts", lambda c: c < at)).alias("want")
+    )
+    assert placed.where("piece <> want").count() == 0
+    sizes = [r[1] for r in placed.groupBy("piece").count().collect()]
     assert len(sizes) > 20 and max(sizes) <= 400
