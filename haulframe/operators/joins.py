@@ -7,6 +7,7 @@ does not split.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +17,23 @@ from haulframe.functions.numeric import cents, from_cents
 LOOKUP_ROWS = 10_000
 
 
-def lookup(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner", null_safe: bool = False) -> DataFrame:
+def collected(small: DataFrame) -> pa.Table | None:
+    """The rows of a side that is probably small; None when it has more than LOOKUP_ROWS."""
+    rows = small.limit(LOOKUP_ROWS + 1).toArrow()
+    return rows if rows.num_rows <= LOOKUP_ROWS else None
+
+
+def lookup(
+    df: DataFrame, small: DataFrame, on: list[str], how: str = "inner", null_safe: bool = False
+) -> DataFrame:
     """Join with a side that is probably small, without moving ``df`` if it is.
 
     The side is worked out once, reading at most LOOKUP_ROWS + 1 rows. Up to that size it is
     broadcast; beyond it the join is an ordinary one that Spark plans by size.
     """
     renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in on], *[c for c in small.columns if c not in on])
-    rows = renamed.limit(LOOKUP_ROWS + 1).toArrow()
-    if rows.num_rows <= LOOKUP_ROWS:
+    rows = collected(renamed)
+    if rows is not None:
         renamed = F.broadcast(df.sparkSession.createDataFrame(rows, renamed.schema))
     pairs = [(F.col(k), F.col(f"_k_{k}")) for k in on]
     same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]

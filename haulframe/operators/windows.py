@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulframe.operators.joins import lookup
+from haulframe.operators.joins import collected, lookup
 
 # A group is split when a sample says it has more than SPLIT_ROWS rows. At most MAX_SPLIT groups can
 # hold over 1/MAX_SPLIT of all rows each, so taking that many of the largest is enough.
@@ -45,7 +45,15 @@ def top_values(df: DataFrame, group: list[str], value: str, n: int, name: str =
         .distinct()
     )
     ranked = candidates.withColumn(name, F.dense_rank().over(Window.partitionBy(*group).orderBy(down)))
-    return lookup(df, ranked.where(F.col(name) <= n), [*group, value], null_safe=True)
+    ranked = ranked.where(F.col(name) <= n)
+    rows = collected(ranked)
+    if rows is not None:
+        # Few values are left: rows with any other are dropped in the scan, before anything is moved.
+        best = set(rows[value].to_pylist())
+        among = F.col(value).isin(*(best - {None}))
+        df = df.where(among | F.col(value).isNull() if None in best else among)
+        ranked = df.sparkSession.createDataFrame(rows, ranked.schema)
+    return lookup(df, ranked, [*group, value], null_safe=True)
 
 
 def large_groups(

@@ -9,21 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from haulframe.functions.numeric import money_sum
 
 
-_schemas: dict[tuple[str, str], StructType] = {}
+_tables: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is read from the file once per session."""
+    """A given table. Its files are listed once per session, which for many files is dear."""
     path = f"{sf_dir}/{name}.parquet"
     key = (spark.conf.get("spark.app.id", ""), path)
-    if key not in _schemas:
-        _schemas[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[key]).parquet(path)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(path)
+    return _tables[key]
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, ShortType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from haulframe.operators import quality
 from haulframe.plans import inputs as src
@@ -126,6 +135,31 @@ def src_schema_struct(spark, sf_dir):
     return readers.read_csv(spark, land_clients(spark, sf_dir, header=True), STRUCT, header=True)
 
 
+MICROSECONDS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+EVENT_STRUCT = StructType(
+    [
+        StructField("event_id", LongType(), False),
+        StructField("ts", TimestampNTZType(), False),
+        StructField("user_id", LongType(), False),
+        StructField("event_type", StringType(), False),
+    ]
+)
+
+
+@query(
+    "src_schema_timestamp",
+    "SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text FROM events",
+)
+def src_schema_timestamp(spark, sf_dir):
+    # Without a format, times are written to the millisecond.
+    options = {"sep": "|", "header": True, "timestampNTZFormat": MICROSECONDS}
+    path = new_path(spark, "events")
+    events = src.table(spark, sf_dir, "events").select(*EVENT_STRUCT.names)
+    sinks.write_csv(events, path, **options)
+    rows = readers.read_csv(spark, path, EVENT_STRUCT, **options)
+    return rows.select("event_id", "user_id", "event_type", F.date_format("ts", MICROSECONDS).alias("ts_text"))
+
+
 @query("src_csv_head", f"{CLIENTS_SQL} ORDER BY id LIMIT 5")
 def src_csv_head(spark, sf_dir):
     rows = readers.read_csv(spark, land_clients(spark, sf_dir, header=True), DDL, header=True)
