@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names. Only a local session may do without one."""
+    """The shared folder that the cluster names; where it names none, a folder below the session's warehouse."""
     root = spark.conf.get(SHARED_FOLDER_SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"{SHARED_FOLDER_SETTING} must name a folder that all executors reach")
-    return _local_root(spark.conf.get("spark.app.id", ""))
-
-
-@functools.lru_cache
-def _local_root(app_id: str) -> str:
-    return tempfile.mkdtemp(prefix="haulframe-")
+    return spark.conf.get(WAREHOUSE_SETTING).rstrip("/") + "/_scratch"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
