@@ -4,12 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulframe.llm import minhash
+from haulframe.llm import minhash, mixing, url_templates
 from haulframe.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+#: The given rules of the url filter.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@query("op1_mix_sources", mixing.drawn_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.drawn(table(spark, sf_dir, "documents"))
+    return drawn.selectExpr(
+        "doc_id", "_domain AS domain", "_lang AS lang", "_source AS source", "_tokens AS n_tokens",
+        "_epochs AS epochs", "_take AS take",
+    )
+
+
+@query("op3_url_filter", url_templates.judged_sql(URL_RULES))
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op10_minhash_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
