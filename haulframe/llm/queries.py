@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulframe.llm import minhash, mixing, url_templates
+from haulframe.llm import decontaminate, minhash, mixing, token_files, toxicity, url_templates
 from haulframe.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -34,6 +35,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op5_token_files")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_decontaminate")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.quoted(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op10_minhash_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
