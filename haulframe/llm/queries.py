@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulframe.llm import decontaminate, minhash, mixing, token_files, toxicity, url_templates
+from haulframe.llm import decontaminate, minhash, mixing, pii, token_files, toxicity, url_templates
 from haulframe.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -51,6 +51,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.quoted(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op8_personal_data")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 @query("op10_minhash_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
