@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulframe.llm import decontaminate, minhash, mixing, pii, token_files, toxicity, url_templates
+from haulframe.llm import decontaminate, html_slots, minhash, mixing, pii, token_files, toxicity, url_templates
 from haulframe.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -56,6 +56,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+@query("op9_main_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_slots.main_texts(table(spark, sf_dir, "pages"))
+
+
 @query("op10_minhash_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
