@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulframe.llm import decontaminate, html_slots, minhash, mixing, pii, token_files, toxicity, url_templates
+from haulframe.llm import cover_tree, decontaminate, html_slots, minhash, mixing, passages, pii, token_files, toxicity, url_templates
 from haulframe.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -30,6 +30,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_repeated_passages")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op3_url_filter", url_templates.judged_sql(URL_RULES))
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judged(table(spark, sf_dir, "pages"), URL_RULES)
@@ -51,6 +56,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.quoted(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op7_embedding_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_personal_data")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
