@@ -23,6 +23,7 @@ from haulframe.llm.words import distinct_shingles, mixed
 HALVES = 12
 WIDTH = 3
 SEED = 20_240_229
+SPLIT_BYTES = 2_000_000  # of 32-bit sets in one half of a block pair
 
 
 def _signatures(size: int, seed: int):
@@ -99,9 +100,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, seed: int
 
     Documents with equal sets are one class, of which the smallest doc_id takes part in the search.
     Candidates are tried in three passes, each leaving out pairs already in one component: every
-    document with the smallest member of all its buckets; with the smallest member of each bucket; and
-    the pairs of a bucket that are still apart. So a large group of near copies costs a few pairs per
-    member, and no pair of a bucket is left out unless its members are linked already.
+    document with the smallest member of all its buckets; with the smallest member of each bucket; and,
+    block by block, what shares a bucket and is still apart. So a large group of near copies makes a few
+    rows per member, and no pair of a bucket is left out unless its members are linked already.
 
     Null or empty texts, and texts of white space, have no shingles and stay alone. A null doc_id is
     returned with a null component and kept. Rows with one doc_id are one node of the graph: it is
@@ -152,11 +153,9 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, seed: int
 
     named = buckets.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
     mixed_up = named.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    named = named.join(mixed_up.select("bucket"), "bucket", "left_semi")
-    other = named.select("bucket", F.col("node").alias("b"), F.col("c").alias("d"))
-    rest = named.withColumnRenamed("node", "a").join(other, "bucket").where("a < b AND c <> d").select("a", "b").distinct()
-    tried = buckets.where("pivot < node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    last = landed(confirmed_links(rest.join(tried, ["a", "b"], "left_anti"), texts, size, percent), "links")
+    apart = landed(named.join(mixed_up.select("bucket"), "bucket", "left_semi").select("node", "c").distinct(), "apart")
+    rest = _links_in_blocks(apart, classes, texts, size, percent)
+    last = landed(confirmed_links(rest, texts, size, percent), "links")
     if not last.isEmpty():
         found = landed(components(links.unionByName(last)), "found")
 
@@ -183,6 +182,81 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, seed: int
     )
 
 
+def _short_sets(size: int):
+    """Per document, its set with 32 bits per shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique((x >> np.uint64(32)).astype(np.uint32)).tobytes() for x in distinct_shingles(batch.column("text"), size)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["node", "short"])
+
+    return run
+
+
+def _block_links(percent: int):
+    """Likely links between the documents of one pair of splits of one half key."""
+
+    def run(group: pa.Table) -> pa.Table:
+        node = group["node"].to_numpy()
+        piece, counts = group["piece"].to_numpy(), group["n_shingles"].to_numpy()
+        left = np.array(group["left_keys"].to_pylist(), np.int64)
+        right = np.array(group["right_keys"].to_pylist(), np.int64)
+        i, p, q = (group[c][0].as_py() for c in ("i", "p", "q"))
+        component = np.unique(group["c"].to_numpy(), return_inverse=True)[1]
+        sets = [np.frombuffer(x.as_py(), np.uint32) for x in group["short"]]
+        at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+        values, owner_value = np.unique(np.concatenate(sets), return_inverse=True)
+        marked = np.zeros(len(values), bool)
+        out_a, out_b = [], []
+        for k in range(len(node)):
+            near = (component != component[k]) & (100 * np.minimum(counts, counts[k]) >= percent * np.maximum(counts, counts[k]))
+            near &= (piece == q) & (piece[k] == p) if p != q else np.arange(len(node)) > k
+            near &= (right == right[k]).any(axis=1)
+            # a pair that shares several left keys is looked at under the first of them
+            near &= (left == left[k]).argmax(axis=1) == i
+            if not near.any():
+                continue
+            mine = owner_value[at[k] : at[k + 1]]
+            marked[mine] = True
+            for other in np.flatnonzero(near):
+                if component[other] == component[k]:
+                    continue
+                common = int(np.count_nonzero(marked[owner_value[at[other] : at[other + 1]]]))
+                # short hashes only bring sets closer; what passes is confirmed on full sets
+                if 100 * (common + 1) >= percent * (counts[k] + counts[other] - common - 1):
+                    out_a.append(node[k])
+                    out_b.append(node[other])
+                    if 100 * common >= (percent + 1) * (counts[k] + counts[other] - common):
+                        component[component == component[other]] = component[k]
+            marked[mine] = False
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+    return run
+
+
+def _links_in_blocks(apart: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Likely links between documents that share a table and are in different components still.
+
+    A half key of the left collection is cut into splits of about SPLIT_BYTES, and every two splits
+    meet as one block pair. In there, all pairs that share a half key of either collection are compared
+    on their sets; only links come out, so no list of pairs is ever made.
+    """
+    data = apart.join(classes.select("node", "n_shingles", "left_keys", "right_keys"), "node")
+    spread = data.select("node", "c", "n_shingles", F.posexplode("left_keys").alias("i", "x"))
+    keys = spread.groupBy("i", "x").agg(
+        F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.sum("n_shingles") * 4 / SPLIT_BYTES).cast("int").alias("splits")
+    )
+    keys = keys.where("low < high").select("i", "x", "splits")
+    placed = spread.select("node", "i", "x").join(keys, ["i", "x"])
+    placed = placed.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("splits")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    placed = placed.select("node", "i", "x", "piece", F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q"))
+    wanted = texts.join(apart.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    short = wanted.mapInArrow(_short_sets(size), "node bigint, short binary")
+    rows = placed.join(data, "node").join(short, "node")
+    return rows.groupBy("i", "x", "p", "q").applyInArrow(_block_links(percent), "a bigint, b bigint").distinct()
+
+
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose members are not in one component yet."""
     a = found.withColumnsRenamed({"node": "a", "component": "ca"})
