@@ -19,16 +19,24 @@ def _shape(layout: str) -> str:
 
 
 def parse_date(text: str, layouts: tuple[str, ...] = LAYOUTS, latest: str | None = None) -> Column:
-    """The first layout that fits; null when none does.
+    """The first layout that fits; null when none does, or when there is no such day.
 
     A text is only parsed in a layout whose shape it has: a parse that fails is far dearer than the
-    look at the shape. A two-digit year is read as 20xx. Give ``latest`` to roll dates after it back
-    by a century.
+    look at the shape. A two-digit year is read as 20xx, or as 19xx where ``latest`` is given and the
+    day would lie after it. Four-digit years are taken as they are.
     """
-    parsed = F.coalesce(*[F.when(F.col(text).rlike(_shape(x)), F.try_to_date(text, x)) for x in layouts])
-    if latest is None:
-        return parsed
-    return F.when(parsed > F.lit(latest).cast("date"), F.add_months(parsed, -1200)).otherwise(parsed)
+    return F.coalesce(*[F.when(F.col(text).rlike(_shape(x)), _parsed(text, x, latest)) for x in layouts])
+
+
+def _parsed(text: str, layout: str, latest: str | None) -> Column:
+    if latest is None or "yy" not in layout or "yyyy" in layout:
+        return F.try_to_date(text, layout)
+    at, full = layout.index("yy") + 1, layout.replace("yy", "yyyy")
+    head, tail = F.substring(text, 1, at - 1), F.substring(text, at, len(layout))
+    this, last = (F.try_to_date(F.concat(head, F.lit(century), tail), full) for century in ("20", "19"))
+    # compared as texts: the day may exist in one century only
+    late = F.concat(F.lit("20"), F.substring(text, at, 2)) > latest[:4]
+    return F.when(late, last).when(this > F.lit(latest).cast("date"), last).otherwise(this)
 
 
 def iso_text(date: str | Column) -> Column:

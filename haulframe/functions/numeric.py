@@ -1,4 +1,4 @@
-"""Money and ratios. Money is summed in whole cents, so totals do not depend on row order."""
+"""Money, weights and ratios. Amounts are added up as decimals, so totals do not depend on row order."""
 
 from __future__ import annotations
 
@@ -14,24 +14,20 @@ def money(amount: str | Column) -> Column:
     return col.cast("decimal(18,2)")
 
 
-def cents(amount: str | Column) -> Column:
-    """The amount in whole cents.
-
-    Whole numbers add up exactly in any order, several times faster than decimals. A total may reach
-    92 quadrillion; beyond that Spark raises an error in its default (ANSI) mode.
-    """
+def exact(amount: str | Column, scale: int = 6) -> Column:
+    """The amount as a decimal with ``scale`` places, to be added up exactly in any order."""
     col = F.col(amount) if isinstance(amount, str) else amount
-    return F.rint(col * 100).cast("bigint")
+    return col.cast(f"decimal(18,{scale})")
 
 
-def from_cents(total: Column) -> Column:
-    """A total in cents as a double amount, by way of an exact decimal."""
-    return (total.cast("decimal(36,0)") * F.lit("0.01").cast("decimal(2,2)")).cast("double")
+def rounded(total: Column, places: int = 2) -> Column:
+    """A decimal total, rounded once, halves away from zero, and handed back as a double."""
+    return F.round(total, places).cast("double")
 
 
-def money_sum(amount: str | Column) -> Column:
-    """Exact total, handed back as a double."""
-    return from_cents(F.sum(cents(amount)))
+def money_sum(amount: str | Column, scale: int = 6) -> Column:
+    """Exact total of amounts with up to ``scale`` places; only the total is rounded."""
+    return rounded(F.sum(exact(amount, scale)))
 
 
 def money_avg(amount: str) -> Column:

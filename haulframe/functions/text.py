@@ -65,9 +65,8 @@ def format_currency(amount: str, sign: str = RUPEE) -> Column:
 
 
 def parse_currency(text: str) -> Column:
-    """The amount in a formatted currency text; null when it holds no number."""
-    bare = F.regexp_replace(F.substring(F.col(text), 2, 1_000), ",", "")
-    return bare.try_cast("double")
+    """The amount in a formatted currency text, whatever its sign and separators; null when it holds no number."""
+    return F.regexp_replace(F.col(text), "[^0-9.+-]", "").try_cast("double")
 
 
 def has_non_digit(text: str) -> Column:

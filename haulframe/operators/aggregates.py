@@ -3,26 +3,23 @@
 from __future__ import annotations
 
 from functools import reduce
-from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import from_cents
+from haulframe.functions.numeric import rounded
+from haulframe.sources.scratch import new_path
 
-# Bins per pass of the quantile search.
-BINS = 10_000
 
-
-def subtotals(base: DataFrame, keys: list[str], cents: str, rows: str, cube: bool = False) -> DataFrame:
+def subtotals(base: DataFrame, keys: list[str], amount: str, rows: str, cube: bool = False) -> DataFrame:
     """Sum and average per key combination with subtotals, and the grouping id that tells them apart.
 
-    ``cents`` is a partial sum in whole cents and ``rows`` the number of rows in it. Both are first added
+    ``amount`` is a partial sum as a decimal and ``rows`` the number of rows in it. Both are first added
     up per full key, so the copies that a roll-up makes of its input are copies of that small result.
     """
-    fine = base.groupBy(*keys).agg(F.sum(cents).alias("_sum"), F.sum(rows).alias("_n"))
+    fine = base.groupBy(*keys).agg(F.sum(amount).alias("_sum"), F.sum(rows).alias("_n"))
     grouped = fine.cube(*keys) if cube else fine.rollup(*keys)
-    total = from_cents(F.sum("_sum"))
+    total = rounded(F.sum("_sum"))
     return grouped.agg(
         total.alias("sumamt"),
         (total / F.sum("_n")).alias("avgamt"),
@@ -73,74 +70,38 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def quantiles(df: DataFrame, columns: list[str], shares: tuple[float, ...]) -> dict[str, list[float | None]]:
-    """Exact quantiles: the smallest value with at least that share of the values up to it.
+def quantiles(df: DataFrame, columns: list[str], shares: tuple[float, ...]) -> DataFrame:
+    """``column_name`` and one text column ``q0``, ``q1``, ... per share: exact quantiles of columns of any ordered type.
 
-    Each pass cuts the range that holds a quantile into BINS equal bins, counts them in one small
-    aggregate, and goes on in the bin with the wanted rank, until a bin has a single value. A pass
-    narrows the range at least BINS-fold, so a handful is enough, and nothing but counts is collected.
+    A quantile is the smallest value with at least that share of the values up to it, in the column's
+    own type and Spark's order (NaN above infinity); nulls do not count, and a column without values
+    has null quantiles. Values are counted first, the counts are dealt by range of value and written,
+    and running totals over the ranges tell in which one a rank lies; only that range is gone through
+    value by value. So a column takes two passes over its counted values, whatever they are.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    ends = numbers.agg(
-        *[f(c).alias(f"{c}_{i}") for c in columns for i, f in enumerate((F.min, F.max, F.count))]
-    ).first()
-    found: dict[tuple[str, float], float | None] = {}
-    open_spans = {}
-    for c in columns:
-        low, high, n = (ends[f"{c}_{i}"] for i in range(3))
-        for share in shares:
-            if n == 0 or low == high:
-                found[c, share] = low
-            else:
-                open_spans[c, share] = (low, high, max(1, ceil(share * n)))
-    while open_spans:
-        spans = sorted({(c, low, high) for (c, _), (low, high, _) in open_spans.items()})
-        counted = _count_bins(numbers, spans)
-        for (c, share), (low, high, rank) in list(open_spans.items()):
-            for _, low_value, high_value, n in counted[spans.index((c, low, high))]:
-                if rank <= n:
-                    break
-                rank -= n
-            if low_value == high_value:
-                found[c, share] = low_value
-                del open_spans[c, share]
-            else:
-                open_spans[c, share] = (low_value, high_value, rank)
-    return {c: [found[c, share] for share in shares] for c in columns}
-
-
-def _count_bins(numbers: DataFrame, spans: list[tuple[str, float, float]]) -> dict[int, list[tuple]]:
-    """Per span, its bins in order: number, smallest and largest value, count."""
-    inside = [
-        F.when(
-            F.col(c).between(low, high),
-            F.struct(
-                F.lit(i).alias("span"),
-                F.floor(F.least(F.lit(BINS - 1.0), (F.col(c) - low) / (high - low) * BINS)).alias("bin"),
-                F.col(c).alias("value"),
-            ),
-        )
-        for i, (c, low, high) in enumerate(spans)
-    ]
-    bins = (
-        numbers.select(F.inline(F.array_compact(F.array(*inside))))
-        .groupBy("span", "bin")
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n"))
-        .collect()
+    return reduce(DataFrame.unionByName, [_column_quantiles(df, c, shares) for c in columns])
+
+
+def _column_quantiles(df: DataFrame, column: str, shares: tuple[float, ...]) -> DataFrame:
+    spark = df.sparkSession
+    path = new_path(spark, "counts")
+    counts = df.select(F.col(column).alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
+    counts.repartitionByRange("v").withColumn("range", F.spark_partition_id()).write.parquet(path)
+    counts = spark.read.parquet(path)
+    along = Window.orderBy("range")
+    totals = counts.groupBy("range").agg(F.sum("n").alias("in_range")).withColumns(
+        {"upto": F.sum("in_range").over(along), "all": F.sum("in_range").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}
     )
-    found: dict[int, list[tuple]] = {i: [] for i in range(len(spans))}
-    for row in sorted(bins):
-        found[row["span"]].append((row["bin"], row["low"], row["high"], row["n"]))
-    return found
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.greatest(F.lit(1), F.ceil(F.col("all") * F.lit(q))).alias("rank")) for i, q in enumerate(shares)])
+    wanted = totals.select("range", "upto", "in_range", F.inline(ranks)).where("rank <= upto AND rank > upto - in_range")
+    wanted = wanted.select("range", "i", (F.col("rank") - F.col("upto") + F.col("in_range")).alias("rank"))
+    within = Window.partitionBy("range", "i").orderBy("v")
+    reached = counts.join(wanted, "range").withColumn("upto", F.sum("n").over(within)).where("rank <= upto AND rank > upto - n")
+    found = [F.max(F.when(F.col("i") == i, F.col("v").cast("string"))).alias(f"q{i}") for i in range(len(shares))]
+    return reached.agg(*found).select(F.lit(column).alias("column_name"), *[f"q{i}" for i in range(len(shares))])
 
 
 def profile_with_quartiles(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The profile of numeric columns with exact quartiles beside it."""
-    points = quantiles(df, columns, (0.25, 0.5, 0.75))
-    base = profile(df, columns)
-
-    def point(i: int) -> Column:
-        pairs = [F.when(F.col("column_name") == c, F.lit(points[c][i])) for c in columns]
-        return F.coalesce(*pairs).cast("double")
-
-    return base.withColumns({f"p{p}": point(i) for i, p in enumerate((25, 50, 75))})
+    """The profile of columns of any type with exact quartiles beside it, as texts like minimum and maximum."""
+    points = quantiles(df, columns, (0.25, 0.5, 0.75)).withColumnsRenamed({"q0": "p25", "q1": "p50", "q2": "p75"})
+    return profile(df, columns).join(points, "column_name")

@@ -7,37 +7,34 @@ does not split.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import cents, from_cents
+from haulframe.functions.numeric import exact, rounded
 
-# A lookup side is collected and broadcast only up to this many rows.
-LOOKUP_ROWS = 10_000
-
-
-def collected(small: DataFrame) -> pa.Table | None:
-    """The rows of a side that is probably small; None when it has more than LOOKUP_ROWS."""
-    rows = small.limit(LOOKUP_ROWS + 1).toArrow()
-    return rows if rows.num_rows <= LOOKUP_ROWS else None
+# Copies of a lookup side, one per salt, so that one key of the other side spreads over as many tasks.
+SALTS = 16
 
 
 def lookup(
-    df: DataFrame, small: DataFrame, on: list[str], how: str = "inner", null_safe: bool = False
+    df: DataFrame, small: DataFrame, on: list[str], how: str = "inner", null_safe: bool = False, salts: int = SALTS
 ) -> DataFrame:
-    """Join with a side that is probably small, without moving ``df`` if it is.
+    """Join with a side that has one row per key.
 
-    The side is worked out once, reading at most LOOKUP_ROWS + 1 rows. Up to that size it is
-    broadcast; beyond it the join is an ordinary one that Spark plans by size.
+    One plan for all sizes: the side is repeated per salt and every row of ``df`` gets a salt from its own
+    values, so a key with a large share of the rows is met by ``salts`` tasks. Spark broadcasts the
+    side where it measures it to be small.
     """
-    renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in on], *[c for c in small.columns if c not in on])
-    rows = collected(renamed)
-    if rows is not None:
-        renamed = F.broadcast(df.sparkSession.createDataFrame(rows, renamed.schema))
+    renamed = small.select(
+        *[F.col(k).alias(f"_k_{k}") for k in on],
+        *[c for c in small.columns if c not in on],
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_k_salt"),
+    )
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
     pairs = [(F.col(k), F.col(f"_k_{k}")) for k in on]
     same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    return df.join(renamed, same, how).drop(*[f"_k_{k}" for k in on])
+    joined = salted.join(renamed, [*same, F.col("_salt") == F.col("_k_salt")], how)
+    return joined.drop(*[f"_k_{k}" for k in on], "_salt", "_k_salt")
 
 
 def existing(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
@@ -110,11 +107,11 @@ def totals_across(
     of ``amount`` (a right column) over all pairs follow by multiplication.
     """
     a = left.groupBy(on).agg(F.count("*").alias(left_name))
-    b = right.groupBy(on).agg(F.count("*").alias(right_name), F.sum(cents(amount)).alias("_sum"))
+    b = right.groupBy(on).agg(F.count("*").alias(right_name), F.sum(exact(amount)).alias("_sum"))
     return a.join(b, on).select(
         on,
         left_name,
         right_name,
         (F.col(left_name) * F.col(right_name)).alias("pairs"),
-        from_cents(F.col("_sum").cast("decimal(20,0)") * F.col(left_name).cast("decimal(18,0)")).alias("pair_amount"),
+        rounded(F.col("_sum").cast("decimal(24,6)") * F.col(left_name).cast("decimal(13,0)")).alias("pair_amount"),
     )

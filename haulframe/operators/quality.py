@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,15 +49,24 @@ def scrub_staff(df: DataFrame) -> DataFrame:
     return replace_any_case(df, "vehicle_type", VEHICLE_WORDS)
 
 
-def field_count(line: str, sep: str = ",") -> Column:
-    """Number of physical fields in a raw line; separators inside double quotes do not count."""
-    bare = F.regexp_replace(F.col(line), '"[^"]*"', "")
+def field_count(line: str, sep: str = ",", quote: str = '"', escape: str = "\\") -> Column:
+    """Number of fields in a raw line as Spark's reader counts them with the same separator, quote and escape.
+
+    A field that opens with a quote ends at the next one that is not escaped, so separators in
+    between do not count. Records that run over several lines are for the multi-line reader.
+    """
+    q, e, s = (re.escape(x) for x in (quote, escape, sep))
+    plain = f"[^{q}{e}]*+" if e != q else f"[^{q}]*+"
+    quoted = f"{q}{plain}(?:{e}.{plain})*+{q}" if e != q else f"{q}{plain}(?:{q}{q}{plain})*+{q}"
+    bare = F.regexp_replace(F.col(line), f"(^|{s})\\s*{quoted}", "$1")
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + F.lit(1)
 
 
-def count_by_width(lines: DataFrame, expected: int, line: str = "value", sep: str = ",") -> DataFrame:
+def count_by_width(
+    lines: DataFrame, expected: int, line: str = "value", sep: str = ",", quote: str = '"', escape: str = "\\"
+) -> DataFrame:
     """One row: how many lines are short, right and long."""
-    width = field_count(line, sep)
+    width = field_count(line, sep, quote, escape)
     return lines.agg(
         F.count_if(width < expected).alias("fewer"),
         F.count_if(width == expected).alias("exact"),

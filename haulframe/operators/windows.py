@@ -1,7 +1,7 @@
 """Ranking and neighbour steps.
 
 A window puts each group in one task. Ranking avoids that by limiting groups before the shuffle; the
-neighbour steps split the few groups that are too large and carry values over the cuts.
+neighbour steps cut the rows by range, whatever group they belong to, and carry values over the cuts.
 """
 
 from __future__ import annotations
@@ -9,14 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulframe.operators.joins import collected, lookup
-
-# A group is split when a sample says it has more than SPLIT_ROWS rows. At most MAX_SPLIT groups can
-# hold over 1/MAX_SPLIT of all rows each, so taking that many of the largest is enough.
-SPLIT_ROWS = 2_000_000
-SAMPLE_FRACTION = 0.01
-MAX_SPLIT = 200
-MAX_PIECES = 512
+from haulframe.operators.joins import lookup
+from haulframe.sources.scratch import new_path
 
 
 def top_rows(df: DataFrame, group: list[str], order: list[Column], n: int, name: str = "seqnum") -> DataFrame:
@@ -45,67 +39,7 @@ def top_values(df: DataFrame, group: list[str], value: str, n: int, name: str =
         .distinct()
     )
     ranked = candidates.withColumn(name, F.dense_rank().over(Window.partitionBy(*group).orderBy(down)))
-    ranked = ranked.where(F.col(name) <= n)
-    rows = collected(ranked)
-    if rows is not None:
-        # Few values are left: rows with any other are dropped in the scan, before anything is moved.
-        best = set(rows[value].to_pylist())
-        among = F.col(value).isin(*(best - {None}))
-        df = df.where(among | F.col(value).isNull() if None in best else among)
-        ranked = df.sparkSession.createDataFrame(rows, ranked.schema)
-    return lookup(df, ranked, [*group, value], null_safe=True)
-
-
-def large_groups(
-    df: DataFrame, keys: list[str], order: str, split_rows: int = SPLIT_ROWS, fraction: float = SAMPLE_FRACTION
-) -> DataFrame | None:
-    """Groups too large for one task, with the order values at which to cut them; None if there are none.
-
-    Only a sample of keys is counted, and at most MAX_SPLIT rows come back. It decides how the work is
-    divided; no row is left out because of it.
-    """
-    sample = df.select(*keys, order)
-    if fraction < 1.0:
-        sample = sample.sample(fraction, seed=17)
-    largest = (
-        sample.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > split_rows * fraction)
-        .orderBy(F.col("_n").desc())
-        .limit(MAX_SPLIT)
-        .toArrow()
-    )
-    if largest.num_rows == 0:
-        return None
-    spark = df.sparkSession
-    hot = spark.createDataFrame(largest.select(keys), df.select(*keys).schema)
-    most = largest["_n"][0].as_py()
-    pieces = min(MAX_PIECES, max(2, round(2 * most / (split_rows * fraction))))
-    cuts = _match(sample, hot, keys).groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(_position(order), [i / pieces for i in range(1, pieces)], 2_000)).alias("_cuts")
-    )
-    return spark.createDataFrame(cuts.toArrow(), cuts.schema)
-
-
-def _position(order: str) -> Column:
-    return F.unix_seconds(F.col(order).cast("timestamp")).cast("double")
-
-
-def _cuts_before(cuts: str, position: Column) -> Column:
-    """How many of the ascending cuts lie before the position, by halving: 9 looks for 511 cuts."""
-    steps = F.array(*[F.lit(MAX_PIECES >> i) for i in range(1, MAX_PIECES.bit_length())])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(F.col(cuts), at + step - 1) < position, at + step).otherwise(at),
-    )
-
-
-def _match(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join with a small frame of bounded size on null-safe keys, keeping the key columns of ``df``."""
-    renamed = small.select(*[F.col(k).alias(f"_m_{k}") for k in keys], *[c for c in small.columns if c not in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys]
-    return df.join(F.broadcast(renamed), same, how).drop(*[f"_m_{k}" for k in keys])
+    return lookup(df, ranked.where(F.col(name) <= n), [*group, value], null_safe=True)
 
 
 def neighbours(
@@ -116,43 +50,25 @@ def neighbours(
     value: str,
     previous: str | None = None,
     following: str | None = None,
-    split_rows: int = SPLIT_ROWS,
-    fraction: float = SAMPLE_FRACTION,
 ) -> DataFrame:
-    """Previous and next value within a group ordered by a date and a unique column.
+    """Previous and next value within a group ordered by ``order`` and a unique column.
 
-    Null stands for "no such row". Groups with more than ``split_rows`` rows are cut by date into
-    pieces; each piece is a window of its own, and the last and first value of the neighbouring
-    pieces are filled in at its ends.
+    Null stands for "no such row". Rows are dealt by range of keys, order and tie-break, so a group of
+    any size, even with one order value, is cut into parts that are even in rows. The parts are
+    written to the shared folder, which fixes them; each part of a group is a window of its own, and
+    only the first and last row of every part are looked at across the cuts.
     """
-    hot = large_groups(df, keys, order, split_rows, fraction)
-    if hot is None:
-        w = Window.partitionBy(*keys).orderBy(F.col(order).asc(), F.col(tie_break).asc())
-        made = {}
-        if previous:
-            made[previous] = F.lag(value).over(w)
-        if following:
-            made[following] = F.lead(value).over(w)
-        return df.withColumns(made)
-
-    piece = F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(_cuts_before("_cuts", _position(order)))
-    cut = _match(df, hot, keys, "left").withColumn("_piece", piece).drop("_cuts")
-
-    at = F.struct(order, tie_break)
-    ends = (
-        cut.where("_piece >= 0")
-        .groupBy(*keys, "_piece")
-        .agg(F.min_by(F.struct(value), at).alias("_first"), F.max_by(F.struct(value), at).alias("_last"))
-    )
-    along = Window.partitionBy(*keys).orderBy("_piece")
-    ends = ends.select(
-        *keys,
-        "_piece",
-        F.lag("_last").over(along)[value].alias("_before"),
-        F.lead("_first").over(along)[value].alias("_after"),
-    )
+    spark = df.sparkSession
+    path = new_path(spark, "ranges")
+    df.repartitionByRange(*keys, order, tie_break).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    parts = spark.read.parquet(path)
+
+    row = F.struct(F.struct(*keys).alias("key"), F.col(order), F.col(tie_break), F.col(value).alias("v"))
+    ends = parts.groupBy("_part").agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    along = Window.orderBy("_part")
+    ends = ends.select("_part", F.lag("last").over(along).alias("_before"), F.lead("first").over(along).alias("_after"))
 
-    w = Window.partitionBy(*keys, "_piece").orderBy(F.col(order).asc(), F.col(tie_break).asc())
+    w = Window.partitionBy("_part", *keys).orderBy(F.col(order).asc(), F.col(tie_break).asc())
     made = {}
     if previous:
         made["_is_first"] = F.lag(F.lit(False), 1, True).over(w)
@@ -160,12 +76,15 @@ def neighbours(
     if following:
         made["_is_last"] = F.lead(F.lit(False), 1, True).over(w)
         made[following] = F.lead(value).over(w)
-    out = _match(cut.withColumns(made), ends, [*keys, "_piece"], "left")
+    out = parts.withColumns(made).join(ends, "_part")
+    own = F.struct(*keys)
     if previous:
-        out = out.withColumn(previous, F.when(F.col("_is_first"), F.col("_before")).otherwise(F.col(previous)))
+        carried = F.when(F.col("_is_first"), F.when(own.eqNullSafe(F.col("_before.key")), F.col("_before.v")))
+        out = out.withColumn(previous, F.when(F.col("_is_first"), carried).otherwise(F.col(previous)))
     if following:
-        out = out.withColumn(following, F.when(F.col("_is_last"), F.col("_after")).otherwise(F.col(following)))
-    return out.drop("_piece", "_is_first", "_is_last", "_before", "_after")
+        carried = F.when(F.col("_is_last"), F.when(own.eqNullSafe(F.col("_after.key")), F.col("_after.v")))
+        out = out.withColumn(following, F.when(F.col("_is_last"), carried).otherwise(F.col(following)))
+    return out.drop("_part", "_is_first", "_is_last", "_before", "_after")
 
 
 def change_pattern(current: str, prior: str) -> Column:

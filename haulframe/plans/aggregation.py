@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import cents, from_cents, money_avg, money_sum
+from haulframe.functions.numeric import exact, money_avg, money_sum, rounded
 from haulframe.operators import aggregates
 from haulframe.plans import inputs as src
 from haulframe.plans.registry import query
@@ -61,11 +61,11 @@ def agg_group_count_distinct(spark, sf_dir):
 )
 def agg_group_sum(spark, sf_dir):
     # Lines are added up per order before they meet the orders.
-    per_order = src.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(cents("l_quantity")).alias("kg"))
+    per_order = src.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(exact("l_quantity")).alias("kg"))
     orders = src.table(spark, sf_dir, "orders")
     joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey)
     grouped = joined.groupBy(F.col("o_orderpriority").alias("fleet_class"))
-    return grouped.agg(from_cents(F.sum("kg")).alias("sum_weight_kg"))
+    return grouped.agg(rounded(F.sum("kg")).alias("sum_weight_kg"))
 
 
 def hub_costs(spark, sf_dir):
@@ -73,7 +73,7 @@ def hub_costs(spark, sf_dir):
     per_member = (
         src.shipments(spark, sf_dir)
         .groupBy("staff_id", "fleet_class")
-        .agg(F.sum(cents("shipment_cost")).alias("cost"), F.count("*").alias("n"))
+        .agg(F.sum(exact("shipment_cost")).alias("cost"), F.count("*").alias("n"))
     )
     per_hub = (
         per_member.join(src.crew(spark, sf_dir), "staff_id")
@@ -109,7 +109,7 @@ def agg_cube(spark, sf_dir):
 def _profile_sql(table: str, column: str, numeric: bool, quartiles: bool = False) -> str:
     mean, spread = (f"round(avg({column}), 4)", f"round(stddev_samp({column}), 4)") if numeric else ("NULL", "NULL")
     points = "".join(
-        f"CAST(quantile_disc({column}, {q}) AS DOUBLE) AS p{p}, " for q, p in ((0.25, 25), (0.5, 50), (0.75, 75))
+        f"CAST(quantile_disc({column}, {q}) AS VARCHAR) AS p{p}, " for q, p in ((0.25, 25), (0.5, 50), (0.75, 75))
     )
     return (
         f"SELECT '{column}' AS column_name, count({column}) AS count, CAST({mean} AS DOUBLE) AS mean, "
@@ -118,22 +118,25 @@ def _profile_sql(table: str, column: str, numeric: bool, quartiles: bool = False
     )
 
 
-_LINE_MEASURES = ["l_quantity", "l_extendedprice", "l_linenumber"]
+#: Every column of the profiled tables, and whether it is a number.
+_LINE_COLUMNS = dict.fromkeys(
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax".split(), True
+) | dict.fromkeys("l_returnflag l_linestatus l_shipdate".split(), False)
+_ORDER_COLUMNS = dict.fromkeys("o_orderkey o_custkey o_totalprice".split(), True) | dict.fromkeys(
+    "o_orderstatus o_orderdate o_orderpriority".split(), False
+)
 
 
-@query(
-    "agg_describe",
-    " UNION ALL ".join(
-        [_profile_sql("lineitem", c, True) for c in _LINE_MEASURES] + [_profile_sql("lineitem", "l_returnflag", False)]
-    ),
-)
+@query("agg_describe", " UNION ALL ".join(_profile_sql("lineitem", c, n) for c, n in _LINE_COLUMNS.items()))
 def agg_describe(spark, sf_dir):
-    return aggregates.profile(src.table(spark, sf_dir, "lineitem"), [*_LINE_MEASURES, "l_returnflag"])
+    lines = src.table(spark, sf_dir, "lineitem")
+    return aggregates.profile(lines, lines.columns)
 
 
-@query("agg_summary", " UNION ALL ".join(_profile_sql("orders", c, True, True) for c in ["o_totalprice", "o_custkey"]))
+@query("agg_summary", " UNION ALL ".join(_profile_sql("orders", c, n, True) for c, n in _ORDER_COLUMNS.items()))
 def agg_summary(spark, sf_dir):
-    return aggregates.profile_with_quartiles(src.table(spark, sf_dir, "orders"), ["o_totalprice", "o_custkey"])
+    orders = src.table(spark, sf_dir, "orders")
+    return aggregates.profile_with_quartiles(orders, orders.columns)
 
 
 @query(

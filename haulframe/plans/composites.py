@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulframe.functions import dates, flags, numeric, people, text
-from haulframe.operators import joins, ordering, quality, sets, shaping
+from haulframe.operators import aggregates, joins, ordering, quality, sets, shaping
 from haulframe.plans import inputs as src
 from haulframe.plans.registry import query
 from haulframe.plans.scalars import TITLE_SQL
@@ -18,56 +18,98 @@ AS_OF = "2002-01-01"
 # Profile
 
 
-def source_profile(df: DataFrame, name: str) -> DataFrame:
-    """One row of findings about a staged source. Nothing is changed."""
-    return df.agg(
-        F.lit(name).alias("source"),
-        F.count("*").alias("total"),
-        F.count_distinct("shipment_id").alias("distinct_keys"),
-        F.count_if(text.has_non_digit("shipment_id")).alias("non_numeric_keys"),
+def source_profile(tagged: DataFrame, columns: list[str], key: str, expected: dict[str, int]) -> DataFrame:
+    """One row of findings per source of tagged, staged rows. Nothing is changed.
+
+    Row and key counts, what de-duplication by row and by key would remove, invalid values, field widths of the
+    raw lines (``line``) against the expected number, and the spread of field lengths.
+    """
+    width = quality.field_count("line")
+    wanted = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in expected.items()])
+    total, rows, keys = F.count("*"), F.count_distinct(F.struct(*columns)), F.count_distinct(key)
+    return tagged.groupBy("source").agg(
+        total.alias("total"),
+        rows.alias("distinct_records"),
+        keys.alias("distinct_keys"),
+        (total - rows).alias("repeated_rows"),
+        (F.count(key) - keys).alias("repeated_keys"),
+        F.count_if(text.has_non_digit(key)).alias("non_numeric_keys"),
         F.count_if(~text.is_whole_number("age")).alias("non_integer_ages"),
         F.count_if(F.col("role").isNull()).alias("missing_roles"),
+        F.count_if(width < wanted).alias("too_short"),
+        F.count_if(width > wanted).alias("too_long"),
+        *[F.max(F.length(c)).alias(f"widest_{c}") for c in ("first_name", "last_name")],
     )
 
 
-def _profile_sql(name: str, source: str, other: str) -> str:
+def _profile_sql(name: str, source: str, other: str, columns: str, short: str) -> str:
     return (
-        f"SELECT '{name}' AS source, count(*) AS total, count(DISTINCT shipment_id) AS distinct_keys, "
+        f"SELECT '{name}' AS source, count(*) AS total, "
+        f"(SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {source})) AS distinct_records, "
+        "count(DISTINCT shipment_id) AS distinct_keys, "
+        f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {source})) AS repeated_rows, "
+        "count(shipment_id) - count(DISTINCT shipment_id) AS repeated_keys, "
         "count(*) FILTER (regexp_matches(shipment_id, '[^0-9]')) AS non_numeric_keys, "
         "count(*) FILTER (NOT regexp_matches(age, '^[0-9]+$')) AS non_integer_ages, "
-        "count(*) FILTER (role IS NULL) AS missing_roles, "
+        f"count(*) FILTER (role IS NULL) AS missing_roles, {short} AS too_short, 0 AS too_long, "
+        "CAST(max(length(first_name)) AS INTEGER) AS widest_first_name, "
+        "CAST(max(length(last_name)) AS INTEGER) AS widest_last_name, "
         f"count(*) FILTER (shipment_id IN (SELECT shipment_id FROM {other} WHERE shipment_id IS NOT NULL)) "
         f"AS rows_in_other FROM {source}"
     )
 
 
+def tagged_sources(spark, sf_dir) -> DataFrame:
+    """Both staged sources with the raw line they come from; lines of staff without a role lack their last fields."""
+    parts = []
+    for source, name, columns in ((src.source1, "system1", src.NARROW), (src.source2, "system2", src.WIDE)):
+        rows = source(spark, sf_dir)
+        head = [c for c in columns[: columns.index("role")]]
+        line = F.when(F.col("role").isNull(), F.to_csv(F.struct(*head))).otherwise(F.to_csv(F.struct(*columns)))
+        parts.append(shaping.tag_source(rows.withColumn("line", line), name, "source"))
+    return sets.align(*parts)
+
+
 @query(
     "pipe_profile",
-    f"WITH {src.SOURCES_SQL} {_profile_sql('system1', 'src1', 'src2')} UNION ALL {_profile_sql('system2', 'src2', 'src1')}",
+    f"WITH {src.SOURCES_SQL} "
+    + " UNION ALL ".join(
+        _profile_sql(name, own, other, ", ".join(columns), "count(*) FILTER (role IS NULL)")
+        for name, own, other, columns in (("system1", "src1", "src2", src.NARROW), ("system2", "src2", "src1", src.WIDE))
+    ),
 )
 def pipe_profile(spark, sf_dir):
-    first, second = src.source1(spark, sf_dir), src.source2(spark, sf_dir)
-    profiles = source_profile(first, "system1").unionByName(source_profile(second, "system2"))
+    tagged = tagged_sources(spark, sf_dir)
+    expected = {"system1": len(src.NARROW), "system2": len(src.WIDE)}
+    profiles = source_profile(tagged, src.WIDE, "shipment_id", expected)
     # Rows per key in each source, side by side: a key counts where it is in both.
-    keys = sets.align(
-        shaping.tag_source(first.select("shipment_id"), "system1", "source"),
-        shaping.tag_source(second.select("shipment_id"), "system2", "source"),
-    ).where(F.col("shipment_id").isNotNull())
-    in_source = [F.count_if(F.col("source") == s).alias(s) for s in ("system1", "system2")]
+    keys = tagged.where(F.col("shipment_id").isNotNull())
+    in_source = [F.count_if(F.col("source") == s).alias(s) for s in expected]
     common = keys.groupBy("shipment_id").agg(*in_source).where("system1 > 0 AND system2 > 0")
-    shared = common.agg(F.sum("system1").alias("system1"), F.sum("system2").alias("system2")).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(s).alias("source"), F.coalesce(F.col(s), F.lit(0)).alias("rows_in_other"))
-                    for s in ("system1", "system2")
-                ]
-            )
-        )
+    shared = common.agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in expected]).select(
+        F.inline(F.array(*[F.struct(F.lit(s).alias("source"), F.col(s).alias("rows_in_other")) for s in expected]))
     )
     return profiles.join(shared, "source")
 
 
+@query(
+    "pipe_profile_columns",
+    f"WITH {src.SOURCES_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS source, '{c}' AS column_name, count({c}) AS count, CAST(NULL AS DOUBLE) AS mean, "
+        f"CAST(NULL AS DOUBLE) AS stddev, min({c}) AS min, max({c}) AS max FROM {own}"
+        for name, own, columns in (("system1", "src1", src.NARROW), ("system2", "src2", src.WIDE))
+        for c in columns
+    ),
+)
+def pipe_profile_columns(spark, sf_dir):
+    parts = []
+    for source, name in ((src.source1, "system1"), (src.source2, "system2")):
+        rows = source(spark, sf_dir)
+        parts.append(aggregates.profile(rows, rows.columns).withColumn("source", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
 # Silver staff
 
 

@@ -13,16 +13,9 @@ from pyspark.sql import functions as F
 from haulframe.functions.numeric import money_sum
 
 
-_tables: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its files are listed once per session, which for many files is dear."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.conf.get("spark.app.id", ""), path)
-    if key not in _tables:
-        _tables[key] = spark.read.parquet(path)
-    return _tables[key]
+    """A given table, as its files are now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,22 +43,20 @@ _DRIVERS_SQL = "drivers AS (SELECT staff_id, origin_hub_city, role FROM staff WH
 
 @query(
     "join_right",
-    f"{_BOTH}, {_DRIVERS_SQL} SELECT c.staff_id, d.origin_hub_city, d.role, c.order_id, c.shipment_cost "
-    "FROM drivers d RIGHT JOIN crit c ON d.staff_id = c.staff_id",
+    f"{_BOTH} SELECT c.staff_id, d.origin_hub_city, d.role, c.order_id, c.shipment_cost "
+    "FROM staff d RIGHT JOIN shipments c ON d.staff_id = c.staff_id",
 )
 def join_right(spark, sf_dir):
-    drivers = _staff(spark, sf_dir).where("role = 'driver'")
-    return drivers.join(_crit(spark, sf_dir), "staff_id", "right")
+    return _staff(spark, sf_dir).join(src.shipments(spark, sf_dir).select(*_CRIT), "staff_id", "right")
 
 
 @query(
     "join_full",
-    f"{_BOTH}, {_DRIVERS_SQL} SELECT coalesce(d.staff_id, c.staff_id) AS staff_id, d.origin_hub_city, d.role, c.order_id, "
-    "c.shipment_cost FROM drivers d FULL JOIN crit c ON d.staff_id = c.staff_id",
+    f"{_BOTH} SELECT coalesce(d.staff_id, c.staff_id) AS staff_id, d.origin_hub_city, d.role, c.order_id, "
+    "c.shipment_cost FROM staff d FULL JOIN shipments c ON d.staff_id = c.staff_id",
 )
 def join_full(spark, sf_dir):
-    drivers = _staff(spark, sf_dir).where("role = 'driver'")
-    return joins.reconcile(drivers, _crit(spark, sf_dir), "staff_id")
+    return joins.reconcile(_staff(spark, sf_dir), src.shipments(spark, sf_dir).select(*_CRIT), "staff_id")
 
 
 @query(

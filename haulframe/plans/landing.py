@@ -32,7 +32,6 @@ STRUCT = StructType(
     ]
 )
 CLIENTS_SQL = "SELECT c_custkey AS id, c_name AS name, c_nationkey AS loc, c_acctbal AS balance, c_mktsegment AS plan FROM customer"
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 def clients(spark, sf_dir):
@@ -106,7 +105,8 @@ _PARTS_DDL = "id bigint, name string, loc int, balance double"
 def src_multi_path(spark, sf_dir):
     root = new_path(spark, "clients-by-plan")
     clients(spark, sf_dir).write.partitionBy("plan").option("header", True).csv(root)
-    listed = readers.read_csv(spark, [f"{root}/plan={s}" for s in SEGMENTS], _PARTS_DDL, header=True)
+    folders = readers.list_folders(spark, f"{root}/plan=*")
+    listed = readers.read_csv(spark, folders, _PARTS_DDL, header=True)
     matched = readers.read_csv(spark, f"{root}/plan=*", _PARTS_DDL, header=True)
     return listed.unionByName(matched)
 
@@ -313,7 +313,7 @@ def src_json_lines(spark, sf_dir):
 @query("src_json_multiline", CLIENTS_SQL)
 def src_json_multiline(spark, sf_dir):
     path = new_path(spark, "json-documents")
-    sinks.write_json_documents(clients(spark, sf_dir), path, "id")
+    sinks.write_json_documents(clients(spark, sf_dir), path, "id", documents=8)
     return readers.read_json_documents(spark, path, DDL).select(*NAMES)
 
 

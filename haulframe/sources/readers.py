@@ -73,9 +73,20 @@ def list_files(spark: SparkSession, path: str, **options: object) -> DataFrame:
     return files.select("path", "modificationTime", "length")
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders that hold the files a path names, in order. There are as many as partitions of the data."""
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")
+    return sorted(r.folder for r in list_files(spark, path).select(folder).distinct().collect())
+
+
 def preview_text(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """The first ``n`` lines in line order."""
-    return spark.read.text(path).orderBy("value").limit(n)
+    """The first ``n`` lines of the files as they are stored, in file order.
+
+    ``head`` reads the first file and goes on to others only while lines are lacking, so nothing is
+    sorted and the rest is not read. What comes to the driver is ``n`` lines.
+    """
+    lines = spark.read.text(path)
+    return spark.createDataFrame(lines.head(n), lines.schema)
 
 
 def parse_lines(lines: DataFrame, schema: str, line: str = "value", sep: str = ",") -> DataFrame:

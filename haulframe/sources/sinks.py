@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MODES = ("overwrite", "append", "ignore", "error")
 
-# A gzip text file is read by one task, so its size is limited when it is written.
-GZIP_TEXT_ROWS = 2_000_000
-
-# Rows in one multi-line JSON document, which is always read by one task.
-DOCUMENT_ROWS = 100_000
-
-
 def write_files(
     df: DataFrame, path: str, fmt: str, mode: str = "error", codec: str | None = None, **options: object
 ) -> None:
-    """Write to a folder in any installed format: csv, json, xml, parquet, orc, text or an add-on."""
+    """Write to a folder in any installed format: csv, json, xml, parquet, orc, text or an add-on.
+
+    A gzip text file is read by one task. Give ``maxRecordsPerFile`` to bound its size.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if codec is not None:
         options["compression"] = codec
-    if codec == "gzip" and fmt in ("csv", "json", "text", "xml"):
-        options.setdefault("maxRecordsPerFile", GZIP_TEXT_ROWS)
     df.write.format(fmt).mode(mode).options(**options).save(path)
 
 
@@ -35,19 +32,27 @@ def write_xml(df: DataFrame, path: str, row_tag: str, mode: str = "error") -> No
     write_files(df, path, "xml", mode, rowTag=row_tag, rootTag=f"{row_tag}s")
 
 
-def write_json_documents(df: DataFrame, path: str, key: str) -> None:
-    """Multi-line JSON arrays, one per file, of a frame with a unique non-negative integer key.
+def write_json_documents(df: DataFrame, path: str, key: str, documents: int) -> None:
+    """Multi-line JSON arrays, one per file, ordered by ``key`` and about even in rows.
 
-    The key is unique, so a document holds at most DOCUMENT_ROWS rows whatever the data.
+    Rows are dealt by range into ``documents`` parts, and each task streams its part between brackets, so
+    no document is ever held in memory. A document is read by one task: choose their number by size.
     """
-    record = F.to_json(F.struct(*df.columns), {"pretty": "true"})
-    documents = (
-        df.select(F.floor(F.col(key) / DOCUMENT_ROWS).alias("document"), F.struct(F.col(key), record.alias("r")).alias("e"))
-        .groupBy("document")
-        .agg(F.sort_array(F.collect_list("e")).alias("es"))
-        .select("document", F.concat(F.lit("[\n"), F.array_join("es.r", ",\n"), F.lit("\n]")).alias("value"))
-    )
-    documents.write.partitionBy("document").text(path)
+    record = F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("value")
+    ranged = df.repartitionByRange(documents, key).sortWithinPartitions(key).select(record)
+    ranged.mapInArrow(_between_brackets, "value string").write.text(path)
+
+
+def _between_brackets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    start = "["
+    for batch in batches:
+        lines = []
+        for record in batch.column(0).to_pylist():
+            lines += [start, record]
+            start = ","
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    if start == ",":
+        yield pa.RecordBatch.from_arrays([pa.array(["]"], pa.string())], ["value"])
 
 
 def convert(df: DataFrame, path: str, fmt: str) -> None:

@@ -14,7 +14,7 @@ def scratch_schema(spark: SparkSession) -> str:
     """A new schema whose managed tables live in the shared folder, whatever the warehouse setting."""
     name = f"haul_{uuid.uuid4().hex[:12]}"
     location = new_path(spark, "schema")
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{location}'")
+    spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name) LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'", args={"name": name})
     return name
 
 
@@ -34,7 +34,10 @@ def save_table(df: DataFrame, table: str, mode: str = "overwrite", partition_by:
 
 def empty_clone(spark: SparkSession, source: str, target: str) -> None:
     """An empty table with the columns of another."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {target} USING parquet AS SELECT * FROM {source} WHERE 1 = 0")
+    spark.sql(
+        "CREATE TABLE IF NOT EXISTS IDENTIFIER(:target) USING parquet AS SELECT * FROM IDENTIFIER(:source) WHERE 1 = 0",
+        args={"target": target, "source": source},
+    )
 
 
 def replace_rows(df: DataFrame, table: str) -> None:
@@ -45,9 +48,9 @@ def replace_rows(df: DataFrame, table: str) -> None:
 
 def drop_table(spark: SparkSession, table: str) -> bool:
     """Drop a table; True when it is gone."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:table)", args={"table": table})
     return not spark.catalog.tableExists(table)
 
 
 def table_ddl(spark: SparkSession, table: str) -> DataFrame:
-    return spark.sql(f"SHOW CREATE TABLE {table}")
+    return spark.sql("SHOW CREATE TABLE IDENTIFIER(:table)", args={"table": table})

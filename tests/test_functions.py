@@ -36,6 +36,8 @@ def test_currency_both_ways(spark):
     assert one(spark, text.format_currency("a"), "a double, b int", (30695.8, 0)) == "₹30,695.80"
     assert one(spark, text.parse_currency("a"), values=("₹1,230,695.80", "")) == 1230695.8
     assert one(spark, text.parse_currency("a"), values=("₹none", "")) is None
+    assert one(spark, text.parse_currency("a"), values=("30695.80", "")) == 30695.8
+    assert one(spark, text.parse_currency("a"), values=("₹" + "0" * 2000 + "-1".replace("-", "") + ".5", "")) == 1.5
 
 
 def test_case_refuses_numbers(spark):
@@ -63,6 +65,25 @@ def test_date_misfit_and_century(spark):
     assert one(spark, dates.parse_date("a", latest="2025-12-31"), values=("03-10-98", "")) == datetime.date(1998, 10, 3)
 
 
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        ("2030-05-01", datetime.date(2030, 5, 1)),
+        ("30-05-95", datetime.date(1995, 5, 30)),
+        ("31-12-25", datetime.date(2025, 12, 31)),
+        ("29-02-00", datetime.date(2000, 2, 29)),
+        ("29-02-30", None),
+        ("29-02-01", None),
+    ],
+)
+def test_only_two_digit_years_are_rolled(spark, given, want):
+    assert one(spark, dates.parse_date("a", latest="2025-12-31"), values=(given, "")) == want
+
+
+def test_impossible_leap_day_of_the_other_century(spark):
+    assert one(spark, dates.parse_date("a", latest="1999-12-31"), values=("29-02-00", "")) is None
+
+
 def test_date_parts_and_weekend(spark):
     df = spark.createDataFrame([("2024-04-23",), ("2024-04-27",), ("2024-04-28",), (None,)], "d string")
     df = df.withColumn("d", F.col("d").cast("date"))
@@ -88,6 +109,10 @@ def test_money_sum_is_exact(spark):
     df = spark.createDataFrame([(0.1,)] * 1000 + [(0.2,)] * 1000 + [(None,)], "a double")
     assert df.agg(numeric.money_sum("a")).first()[0] == 300.0
     assert df.agg(numeric.money_avg("a")).first()[0] == 0.15
+    small = spark.createDataFrame([(0.004,)] * 1000, "a double")
+    assert small.agg(numeric.money_sum("a")).first()[0] == 4.0
+    for value, want in ((0.125, 0.13), (1.005, 1.01)):
+        assert spark.createDataFrame([(value,)], "a double").agg(numeric.money_sum("a")).first()[0] == want
 
 
 STAFF = [

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import cents
+from haulframe.functions.numeric import exact
 from haulframe.operators import aggregates, joins, ordering, params, quality, sets, shaping, windows
 
 ROSTER = [
@@ -70,6 +70,15 @@ def test_width_counts_respect_quotes(spark):
     assert quality.count_by_width(lines, 3).first()[:] == (2, 2, 1)
 
 
+def test_width_counts_as_the_reader_does(spark):
+    lines = ['1,"say \\",x",3', '1,"a ""b"" c,d",3', '5" pipe,x,3', '"open,2,3', ",,"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [r[0] for r in df.select(quality.field_count("value")).collect()]
+    assert got[0] == 3 and got[2] == 3 and got[4] == 3
+    doubled = [r[0] for r in df.select(quality.field_count("value", escape='"')).collect()]
+    assert doubled[1] == 3
+
+
 def test_dedup_is_repeatable(spark):
     rows = [(k % 5, v) for k, v in itertools.product(range(10), range(30))]
     random.Random(3).shuffle(rows)
@@ -149,11 +158,13 @@ def test_totals_across_equal_the_join(staff, ships):
     assert got == bag(joined)
 
 
-def test_lookup_past_its_limit(spark, staff, monkeypatch):
-    monkeypatch.setattr(joins, "LOOKUP_ROWS", 2)
-    small = spark.createDataFrame([(f"hub{i}", i) for i in range(5)], "hub string, n int")
-    got = joins.lookup(staff, small, ["hub"])
-    assert bag(got) == bag(staff.join(small, "hub").select("id", "hub", "n"))
+@pytest.mark.parametrize("null_safe, how", [(False, "inner"), (True, "inner"), (False, "left")])
+def test_lookup_is_a_join(spark, staff, null_safe, how):
+    small = spark.createDataFrame([(f"hub{i}", i) for i in range(2)] + [(None, 9)], "hub string, n int")
+    rows = staff.unionByName(spark.createDataFrame([(77, None)], "id int, hub string"))
+    got = bag(joins.lookup(rows, small, ["hub"], how, null_safe).select("id", "hub", "n"))
+    want = bag(rows.where("hub IS NOT NULL" if how == "inner" else "true").join(small, "hub", how).select("id", "hub", "n"))
+    assert got == want + (Counter({(77, None, 9): 1}) if null_safe else Counter())
 
 
 # Aggregates
@@ -167,7 +178,7 @@ def costs(spark):
 
 @pytest.mark.parametrize("cube, levels", [(False, {0, 1, 3}), (True, {0, 1, 2, 3})])
 def test_subtotals(costs, cube, levels):
-    base = costs.select("hub", "kind", cents("cost").alias("c"), F.lit(1).alias("n"))
+    base = costs.select("hub", "kind", exact("cost").alias("c"), F.lit(1).alias("n"))
     rows = aggregates.subtotals(base, ["hub", "kind"], "c", "n", cube).collect()
     assert {r.level for r in rows} == levels
     total = round(sum(i * 1.01 for i in range(1, 50)), 2)
@@ -185,23 +196,34 @@ def test_profile(costs):
     assert rows["cost"]["mean"] == round(sum(i * 1.01 for i in range(1, 50)) / 49, 4)
 
 
-@pytest.mark.parametrize("bins", [2, 7, 1000])
-def test_quantiles_are_exact(spark, monkeypatch, bins):
-    monkeypatch.setattr(aggregates, "BINS", bins)
+def test_quantiles_are_exact(spark):
     rng = random.Random(17)
-    rows = [(rng.choice([5.5, 5.5, rng.gauss(0, 1e6), None]), rng.randrange(3), 4, None) for _ in range(700)]
-    df = spark.createDataFrame(rows, "a double, b int, c int, d int")
+    rows = [
+        (rng.choice([5.5, 5.5, rng.gauss(0, 1e6), None]), rng.randrange(3), 2**53 + 1, None, rng.choice(["b", "aa", "c"]))
+        for _ in range(700)
+    ]
+    df = spark.createDataFrame(rows, "a double, b int, c bigint, d int, e string")
     shares = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
-    got = aggregates.quantiles(df, ["a", "b", "c", "d"], shares)
-    for i, name in enumerate("abcd"):
+    got = {r.column_name: r[1:] for r in aggregates.quantiles(df, list("abcde"), shares).collect()}
+    for i, name in enumerate("abcde"):
         values = sorted(r[i] for r in rows if r[i] is not None)
         want = [values[max(1, math.ceil(q * len(values))) - 1] if values else None for q in shares]
-        assert got[name] == want
+        assert [None if v is None else type(w)(v) for v, w in zip(got[name], want)] == want
+
+
+def test_quantiles_rank_nan_last(spark):
+    values = [float("nan"), float("inf"), float("-inf"), 1.0, 2.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    row = aggregates.quantiles(df, ["x"], (0.2, 0.4, 0.8, 1.0)).first()
+    assert row[1:] == ("-Infinity", "1.0", "Infinity", "NaN")
 
 
 def test_profile_with_quartiles(spark):
-    row = aggregates.profile_with_quartiles(spark.range(1, 101).withColumnRenamed("id", "x"), ["x"]).first()
-    assert (row["count"], row.p25, row.p50, row.p75, row.max) == (100, 25.0, 50.0, 75.0, "100")
+    df = spark.range(1, 101).select(F.col("id").alias("x"), F.chr("id").alias("t"), F.lit(None).cast("int").alias("none"))
+    rows = {r.column_name: r for r in aggregates.profile_with_quartiles(df, df.columns).collect()}
+    row = rows["x"]
+    assert (row["count"], row.p25, row.p50, row.p75, row.max) == (100, "25", "50", "75", "100")
+    assert rows["t"].p50 == chr(50) and rows["none"]["count"] == 0 and rows["none"].p50 is None
 
 
 # Sets
@@ -285,39 +307,39 @@ def neighbours_by_hand(rows):
     return want
 
 
-@pytest.mark.parametrize("split_rows", [10**9, 50])
-def test_neighbours_with_one_key_holding_a_third(spark, split_rows):
+def test_neighbours_with_one_key_holding_a_third(spark):
     rng = random.Random(13)
     days = [f"2024-{m:02d}-{d:02d}" for m in range(1, 13) for d in range(1, 28)]
     rows = [(1, rng.choice(days), i, rng.choice([None, 1.0, 2.0, 3.0])) for i in range(400)]
     rows += [(None, rng.choice(days), i, float(i)) for i in range(400, 550)]
     rows += [(rng.randrange(2, 90), rng.choice(days), i, float(i)) for i in range(550, 1200)]
+    rows += [(500, "2024-05-05", i, float(i)) for i in range(1200, 1900)]
+    rows += [(k, d, k, 1.0) for k in range(1000, 1300) for d in days[:2]]
     df = spark.createDataFrame(rows, "k int, d string, id int, v double").withColumn("d", F.col("d").cast("date"))
-    got = windows.neighbours(
-        df.repartition(5), ["k"], "d", "id", "v", previous="p", following="f", split_rows=split_rows, fraction=1.0
-    )
+    got = windows.neighbours(df.repartition(5), ["k"], "d", "id", "v", previous="p", following="f")
     as_text = got.select("k", F.col("d").cast("string"), "id", "v", "p", "f")
     assert bag(as_text) == neighbours_by_hand(rows)
 
 
-def test_large_groups_are_cut(spark):
-    df = spark.range(3000).select(
-        F.when(F.col("id") < 1000, 1).otherwise(F.col("id")).alias("k"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("d"),
-    )
-    cuts = windows.large_groups(df, ["k"], "d", split_rows=100, fraction=1.0).collect()
-    assert [r.k for r in cuts] == [1]
-    assert len(cuts[0]._cuts) == 19
-    assert windows.large_groups(df, ["k"], "d", split_rows=5000, fraction=1.0) is None
+def test_neighbours_in_a_skipped_hour(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = [(1, f"2024-03-10 {h:02d}:{m:02d}:00", h * 60 + m, float(h * 60 + m)) for h in range(4) for m in range(0, 60, 5)]
+        df = spark.createDataFrame(rows, "k int, d string, id int, v double")
+        df = df.withColumn("d", F.col("d").cast("timestamp_ntz"))
+        got = windows.neighbours(df, ["k"], "d", "id", "v", previous="p").orderBy("id").collect()
+        assert [r.p for r in got] == [None, *[r[3] for r in rows[:-1]]]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_only_one_neighbour_column(spark):
-    rows = [(1, "2024-01-01", 1, 5.0), (1, "2024-01-02", 2, 7.0)] * 1
+    rows = [(1, "2024-01-01", 1, 5.0), (1, "2024-01-02", 2, 7.0)]
     df = spark.createDataFrame(rows, "k int, d string, id int, v double").withColumn("d", F.col("d").cast("date"))
-    for split in (10**9, 1):
-        got = windows.neighbours(df, ["k"], "d", "id", "v", following="f", split_rows=split, fraction=1.0)
-        assert [(r.id, r.f) for r in got.orderBy("id").collect()] == [(1, 7.0), (2, None)]
-        assert got.columns == ["k", "d", "id", "v", "f"]
+    got = windows.neighbours(df, ["k"], "d", "id", "v", following="f")
+    assert [(r.id, r.f) for r in got.orderBy("id").collect()] == [(1, 7.0), (2, None)]
+    assert got.columns == ["k", "d", "id", "v", "f"]
 
 
 def test_change_pattern(spark):

@@ -152,11 +152,11 @@ def test_json_lines_with_broken_document(spark, folder):
     assert sum(r[readers.CORRUPT] is not None for r in rows) == 2
 
 
-def test_json_documents(spark, folder, monkeypatch):
-    monkeypatch.setattr(sinks, "DOCUMENT_ROWS", 10)
+def test_json_documents(spark, folder):
     path = folder("documents")
     df = spark.range(35).select("id", F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
-    sinks.write_json_documents(df, path, "id")
+    df = df.unionByName(spark.createDataFrame([(None, "no id")], "id bigint, name string"))
+    sinks.write_json_documents(df, path, "id", documents=4)
     assert len(files(path, ".txt")) == 4
     assert bag(readers.read_json_documents(spark, path, "id bigint, name string").select("id", "name")) == bag(df)
 
@@ -167,7 +167,10 @@ def test_listing_and_preview(spark, clients, folder):
     listed = readers.list_files(spark, path)
     assert listed.columns == ["path", "modificationTime", "length"]
     assert all(r.length > 0 for r in listed.where(F.col("path").contains("part-")).collect())
-    assert [r.value for r in readers.preview_text(spark, path, 1).collect()] == ["1,Asha,31,PREPAID"]
+    plain = folder("plain")
+    spark.createDataFrame([("z",), ("a",), ("m",)], "value string").coalesce(1).write.text(plain)
+    assert [r.value for r in readers.preview_text(spark, plain, 2).collect()] == ["z", "a"]
+    assert readers.list_folders(spark, plain) == [f"file:{plain}".replace("file:file:", "file:")]
 
 
 def test_lines_in_a_column(spark):
@@ -206,13 +209,34 @@ def test_scratch_folder_is_the_shared_one(spark):
     assert path != scratch.new_path(spark, "x")
 
 
-def test_cluster_without_shared_folder_is_refused():
+def test_without_a_named_folder_the_warehouse_is_used():
     class Conf:
         def get(self, name, default=None):
-            return {"spark.master": "yarn"}.get(name, default)
+            return {"spark.master": "yarn", "spark.sql.warehouse.dir": "hdfs://x/warehouse/"}.get(name, default)
 
     class Session:
         conf = Conf()
 
-    with pytest.raises(RuntimeError):
-        scratch.scratch_root(Session())
+    assert scratch.scratch_root(Session()) == "hdfs://x/warehouse/_scratch"
+
+
+def test_a_table_is_read_as_its_files_are_now(spark, folder):
+    from haulframe.plans.inputs import table
+
+    root = folder("tables")
+    spark.range(5).write.parquet(f"{root}/orders.parquet")
+    assert table(spark, root, "orders").count() == 5
+    spark.range(7).write.mode("append").parquet(f"{root}/orders.parquet")
+    assert table(spark, root, "orders").count() == 12
+    other = spark.newSession()
+    assert table(other, root, "orders").sparkSession is other
+
+
+def test_names_are_not_spliced_into_sql(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(tables, "new_path", lambda spark, label: f"{tmp_path}/it's here")
+    schema = tables.scratch_schema(spark)
+    tables.save_table(spark.range(3), f"{schema}.odd_name")
+    tables.empty_clone(spark, f"{schema}.odd_name", f"{schema}.clone")
+    assert spark.table(f"{schema}.clone").count() == 0
+    assert "odd_name" in tables.table_ddl(spark, f"{schema}.odd_name").first()[0]
+    assert tables.drop_table(spark, f"{schema}.odd_name")
