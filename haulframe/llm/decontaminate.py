@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulframe.llm.landed import columns_of
+
 PERCENT = 8
 BLOCK_CHARS = 4_000_000  # test items are taken in blocks of about so many characters, one scan each
 
@@ -164,4 +166,4 @@ def quoted(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFra
 def clean(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose doc_id quotes no item; rows with a null doc_id stay."""
     hit = quoted(docs, items, percent).select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(hit, "doc_id", "left_anti").select(columns_of(docs))

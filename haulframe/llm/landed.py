@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from haulframe.sources.scratch import new_path
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns by name, whatever characters the names hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def landed(df: DataFrame, label: str) -> DataFrame:
     """The rows, written as Parquet and read again: later steps start from files that outlive any executor."""
     spark = df.sparkSession

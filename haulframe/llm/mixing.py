@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulframe.llm.landed import landed
+from haulframe.llm.landed import columns_of, landed
 
 WORD = r"[^\x20\x09-\x0D]+"
 SEED = 17
@@ -107,16 +107,15 @@ def budgets(leaves: DataFrame, percent: int, max_epochs: int, weights: dict[str,
 
 
 def _prepared(docs: DataFrame, domain: Column) -> DataFrame:
-    """Leaf, token count and the part of the order key that does not depend on the epoch."""
+    """``row``, its leaf, token count ``n`` and ``key``, the part of the order key that does not depend on the epoch."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.withColumns(
-        {
-            "_domain": domain,
-            "_lang": F.coalesce(F.col("lang"), F.lit("")),
-            "_source": F.coalesce(F.col("source"), F.lit("")),
-            "_tokens": F.regexp_count(text, F.lit(WORD)).cast("bigint"),
-            "_key": F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)),
-        }
+    return docs.select(
+        F.struct(*columns_of(docs)).alias("row"),
+        domain.alias("domain"),
+        F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
+        F.coalesce(F.col("source"), F.lit("")).alias("source"),
+        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n"),
+        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)).alias("key"),
     )
 
 
@@ -126,10 +125,7 @@ def plan(docs: DataFrame, domain: Column, weights: dict, percent: int, max_epoch
     Documents before ``last_key`` in the epoch's order are taken whole; the one at it gives its first
     ``last_take`` tokens (documents equal in id and text share them in equal parts, rounded down).
     """
-    slim = _prepared(docs, domain).select(
-        *[F.col(f"_{x}").alias(x) for x in LEVELS], F.col("_tokens").alias("n"), F.col("_key").alias("key")
-    )
-    slim = landed(slim, "tokens").where("n > 0")
+    slim = landed(_prepared(docs, domain).drop("row"), "tokens").where("n > 0")
     leaves = slim.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"))
     shares = landed(budgets(leaves, percent, max_epochs, weights), "shares").withColumns(
         {"epochs": F.expr("got div tokens"), "rest": F.expr("got % tokens")}
@@ -167,8 +163,8 @@ def drawn(
     max_epochs: int = MAX_EPOCHS,
     seed: int = SEED,
 ) -> DataFrame:
-    """The rows of ``docs`` with their leaf (``_domain``, ``_lang``, ``_source``), ``_tokens``, ``_epochs`` (how
-    often the row is taken whole in full epochs) and ``_take`` (tokens taken in the last, partial epoch).
+    """Per row of ``docs``: ``row`` (a struct of its columns), its leaf (``domain``, ``lang``, ``source``), ``n_tokens``,
+    ``epochs`` (how often it is taken whole in full epochs) and ``take`` (tokens taken in the last, partial epoch).
 
     Null source or language counts as the name ''. Null and empty texts have no tokens and are never
     taken. Repeated rows are rows of their own. Weights are positive whole numbers up to a million. Only
@@ -177,18 +173,17 @@ def drawn(
     domain = domain_of(F.coalesce(F.col("source"), F.lit(""))) if domain is None else domain
     weights = WEIGHTS if weights is None else weights
     leaves = plan(docs, domain, weights, percent, max_epochs, seed)
-    leaves = leaves.select(*[F.col(x).alias(f"_{x}") for x in LEVELS], "epochs", "last_key", "last_take")
-    rows = _prepared(docs, domain).join(leaves, [f"_{x}" for x in LEVELS], "left")
-    at = epoch_key(F.col("_key"), seed)
+    rows = _prepared(docs, domain).join(leaves.select(*LEVELS, "epochs", "last_key", "last_take"), list(LEVELS), "left")
+    at = epoch_key(F.col("key"), seed)
     take = (
-        F.when(F.col("_tokens") == 0, 0)
-        .when(at < F.col("last_key"), F.col("_tokens"))
+        F.when(F.col("n") == 0, 0)
+        .when(at < F.col("last_key"), F.col("n"))
         .when(at == F.col("last_key"), F.col("last_take"))
         .otherwise(0)
     )
-    epochs = F.when(F.col("_tokens") > 0, F.coalesce("epochs", F.lit(0))).otherwise(0)
-    return rows.withColumns({"_take": take.cast("bigint"), "_epochs": epochs.cast("bigint")}).drop(
-        "_key", "epochs", "last_key", "last_take"
+    epochs = F.when(F.col("n") > 0, F.coalesce("epochs", F.lit(0))).otherwise(0)
+    return rows.select(
+        "row", *LEVELS, F.col("n").alias("n_tokens"), epochs.cast("bigint").alias("epochs"), take.cast("bigint").alias("take")
     )
 
 
@@ -197,19 +192,18 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
     The document where a prefix ends is cut to its first tokens, joined by single spaces.
     """
-    columns = docs.columns
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_take").cast("int")), " ")
-    whole = F.col("_take") == F.col("_tokens")
+    text = F.col("row.text")
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("take").cast("int")), " ")
     pieces = F.concat(
-        F.array_repeat(F.lit(True), F.col("_epochs").cast("int")),
-        F.when(F.col("_take") > 0, F.array(whole)).otherwise(F.array().cast("array<boolean>")),
+        F.array_repeat(F.lit(True), F.col("epochs").cast("int")),
+        F.when(F.col("take") > 0, F.array(F.col("take") == F.col("n_tokens"))).otherwise(F.array().cast("array<boolean>")),
     )
-    out = drawn(docs, **options).where("_epochs > 0 OR _take > 0").withColumn("_whole", F.explode(pieces))
-    out = out.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(cut))
-    if "n_chars" in columns:
-        kept = F.when(F.col("_whole"), F.col("n_chars")).otherwise(F.length("text"))
-        out = out.withColumn("n_chars", kept.cast(docs.schema["n_chars"].dataType))
-    return out.select(*columns)
+    out = drawn(docs, **options).where("epochs > 0 OR take > 0").select("row", "take", F.explode(pieces).alias("whole"))
+    made = {"text": F.when(F.col("whole"), text).otherwise(cut)}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        made["n_chars"] = F.when(F.col("whole"), F.col("row.n_chars")).otherwise(F.length(cut).cast(kind))
+    return out.select(*[made[c].alias(c) if c in made else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def drawn_sql(percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> str:

@@ -24,10 +24,7 @@ URL_RULES = [
 @query("op1_mix_sources", mixing.drawn_sql())
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.drawn(table(spark, sf_dir, "documents"))
-    return drawn.selectExpr(
-        "doc_id", "_domain AS domain", "_lang AS lang", "_source AS source", "_tokens AS n_tokens",
-        "_epochs AS epochs", "_take AS take",
-    )
+    return drawn.select("row.doc_id", "domain", "lang", "source", "n_tokens", "epochs", "take")
 
 
 @query("op2_repeated_passages")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulframe.llm.landed import landed
+from haulframe.llm.landed import columns_of, landed
 from haulframe.llm.words import distinct_shingles
 
 SAMPLE_ROWS = 20_000  # labelled rows that the model is fitted on, about; all of them if there are fewer
@@ -270,7 +270,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def acceptable(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not toxic; each row is judged by its own text."""
+    """The rows of ``docs`` whose doc_id has no toxic text; rows with a null doc_id stay."""
     model = fitted(docs, labels)
     toxic = scored(docs, model).where("predicted = 1").select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(toxic, "doc_id", "left_anti").select(columns_of(docs))

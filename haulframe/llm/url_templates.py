@@ -42,9 +42,9 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """The longest rule, written ``host/path``, that fits; null if none does."""
     found = []
     for rule in sorted({r for _, r in rules}, key=lambda r: (-len(r), r)):
-        name, _, rest = rule.partition("/")
+        name = rule.partition("/")[0]
         here = (host == name) | host.endswith("." + name)
-        found.append(F.when(here & path.startswith("/" + rest), F.lit(rule)))
+        found.append(F.when(here & path.startswith(rule[len(name) :]), F.lit(rule)))
     return F.coalesce(*found, F.lit(None).cast("string"))
 
 
@@ -126,9 +126,9 @@ def judged_sql(rules: list[tuple[str, str]], table: str = "pages") -> str:
     """The same in DuckDB's SQL."""
     cases, blocks = [], []
     for verdict, rule in sorted(rules, key=lambda r: (-len(r[1]), r[1])):
-        name, _, rest = rule.partition("/")
+        name = rule.partition("/")[0]
         cases.append(
-            f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '/{rest}') THEN '{rule}'"
+            f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{rule[len(name):]}') THEN '{rule}'"
         )
         if verdict == "block":
             blocks.append(f"'{rule}'")
