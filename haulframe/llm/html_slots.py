@@ -48,6 +48,7 @@ FURNITURE_WORDS = frozenset(
     " overlay newsletter subscribe signup login search comment comments disqus respond reply replies discussion related"
     " recommended share sharing social widget toolbar pagination pager complementary contentinfo skip".split()
 )
+PAGE = "page"  # stands for the page itself among roles, which are empty or begin with a slash
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _CLOSING = {name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE) for name in RAW}
@@ -190,14 +191,14 @@ def _container(role: str) -> str:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, page, role, count of blocks, characters) per page and role that is not furniture."""
+    """(host, page, role, count of blocks, characters) per page and role that is not furniture, and for the page."""
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
         for host, page, text in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), batch.column("html"), strict=True):
             text = text.as_py()
             if not text:
                 continue
-            roles: dict[str, list[int]] = {}
+            roles: dict[str, list[int]] = {PAGE: [1, 0]}
             for role, furniture, block in blocks(text):
                 if not furniture:
                     own = roles.setdefault(_container(role), [0, 0])
@@ -205,7 +206,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own[1] += len(block)
             for role, (count, chars) in roles.items():
                 # blocks of an article differ in number by nature: the article itself occurs once
-                once = 1 if _weight(role) > 1 else count
+                once = 1 if role != PAGE and _weight(role) > 1 else count
                 for column, value in zip(out, (host, page, role, once, chars), strict=True):
                     column.append(value)
         types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
@@ -243,8 +244,9 @@ def main_slots(pages: DataFrame) -> DataFrame:
         F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("vector"),
     )
     roles = landed(roles, "roles")
-    sizes = pages.where("html IS NOT NULL AND html <> ''").groupBy("host").agg(F.count("*").alias("all"))
-    classes = roles.groupBy("host", "vector", "pages").agg(F.sum("chars").alias("class_chars"), F.count("*").alias("members"))
+    sizes = roles.where(F.col("role") == PAGE).select("host", F.col("pages").alias("all"))
+    roles = roles.where(F.col("role") != PAGE)
+    classes = roles.select("host", "vector", "pages").distinct()
     valid = classes.join(sizes, "host").where(F.col("pages") >= F.col("all") * TEMPLATE_SHARE).where("all > 1")
     heavy = F.when(F.col("role").rlike("/(article|main)([./]|$)"), ARTICLE_WEIGHT).otherwise(1) * F.col("chars")
     slots = roles.join(valid.select("host", "vector", "pages"), ["host", "vector", "pages"])
