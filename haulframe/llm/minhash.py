@@ -9,11 +9,12 @@ confirmed on its full sets of shingles.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from haulframe.llm.landed import landed
@@ -28,8 +29,6 @@ SPLIT_BYTES = 2_000_000  # of 32-bit sets in one half of a block pair
 
 def _signatures(size: int, seed: int):
     """Per row: number of distinct shingles, digest of the set, and the half keys of both collections."""
-    import hashlib
-
     functions = 2 * HALVES * WIDTH
     rng = np.random.default_rng(seed)
     factors = rng.integers(0, 1 << 63, functions, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,8 +131,6 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, seed: int
         .select("node", "i", "x", F.posexplode("right_keys").alias("j", "y"))
         .select("node", F.xxhash64(F.col("i") * HALVES + F.col("j"), "x", "y").alias("bucket"))
     )
-    from pyspark.sql import Window
-
     buckets = landed(
         keyed.withColumn("pivot", F.min("node").over(Window.partitionBy("bucket")))
         .withColumn("top", F.max("node").over(Window.partitionBy("bucket")))
