@@ -9,7 +9,10 @@ The files are Parquet files of blocks, written with Spark's commit protocol to a
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,16 +26,30 @@ from haulframe.sources.scratch import new_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-CACHE_WORDS = 400_000  # pieces that a worker remembers; it starts anew when they are more
+CACHE_WORDS = 800_000  # pieces that a worker remembers; it starts anew when they are more
 LONG_PIECE = 64
+_WORD_AND_SIGNS = re.compile(r"""([^\W_]*[a-z0-9À-ÖØ-öø-ÿ])([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)""")
+_PLAIN_WORD = re.compile("[a-zß-öø-ÿ]+")
 _workers: dict = {}
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes for themselves, others from 256 on."""
+    kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in kept else chr(next(others)) for b in range(256)]
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class Encoder:
     """Encodes whole texts piece by piece, remembering the ids of pieces.
 
     Pieces are cut at spaces and line ends, which the vocabulary's own rule drops and never joins
-    across, so the ids are those of the whole text. Pieces are encoded by the tokenizers library.
+    across, and before signs that follow a word, where it always cuts, so the ids are those of the
+    whole text. Pieces are encoded by the tokenizers library. This holds for vocabularies that lower
+    the case, drop white space and split words from signs, as ``word_bpe_49k.json`` does.
     """
 
     def __init__(self, path: str):
@@ -43,30 +60,61 @@ class Encoder:
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.known: dict[str, bytes] = {"": b""}
 
+    def bytes_of(self, ids: list[int]) -> bytes:
+        found = array("H" if self.width == "<u2" else "I", ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
     def encoded(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids per text."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
+        cut = [_pieces(t) for t in texts]
+        missing = self._missing(cut)
+        if len(self.known) + len(missing) > CACHE_WORDS:
+            self.known = {"": b""}
+            missing = self._missing(cut)
+        self._learn(missing)
+        out = [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+        for piece in missing:
+            if len(piece) > LONG_PIECE:
+                del self.known[piece]
+        return out
+
+    def _missing(self, cut: list[list[str]]) -> set[str]:
         missing: set[str] = set()
         for pieces in cut:
             missing.update(pieces)
-        missing.difference_update(known)
-        if len(known) + len(missing) > CACHE_WORDS:
-            known.clear()
-            known[""] = b""
-            missing = set()
-            for pieces in cut:
-                missing.update(pieces)
-            missing.discard("")
-        if missing:
-            new = list(missing)
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[piece] = np.array(found.ids, self.width).tobytes()
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        return missing.difference(self.known)
+
+    def _learn(self, missing: set[str]) -> None:
+        """Encode the pieces; one that is a word and signs after it is put together from both."""
+        known, split, new = self.known, [], set()
         for piece in missing:
-            if len(piece) > LONG_PIECE:
-                del known[piece]
-        return out
+            m = _WORD_AND_SIGNS.fullmatch(piece)
+            if m:
+                split.append((piece, m[1], m[2]))
+                new.update(m.groups())
+            else:
+                new.add(piece)
+        other = []
+        for piece in new.difference(known):
+            if _PLAIN_WORD.fullmatch(piece):
+                # lower-case letters only: nothing to normalise or cut, the word is one unit of the model
+                units = piece if piece.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, piece.encode()))
+                known[piece] = self.bytes_of([t.id for t in self.tokenizer.model.tokenize(units)])
+            else:
+                other.append(piece)
+        for piece, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            known[piece] = self.bytes_of(found.ids)
+        for piece, word, signs in split:
+            known[piece] = known[word] + known[signs]
+
+
+def _pieces(text: str) -> list[str]:
+    """Cut at spaces and line ends; A-Z lower-cased, as the vocabulary does it, where no special token could arise."""
+    if "<|" not in text:
+        text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+    return text.replace("\n", " ").split(" ")
 
 
 def _encoder(path: str) -> Encoder:
