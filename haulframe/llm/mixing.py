@@ -97,10 +97,16 @@ def budgets(leaves: DataFrame, percent: int, max_epochs: int, weights: dict[str,
     for depth in range(1, len(LEVELS) + 1):
         path = ["top", *LEVELS[:depth]]
         rooms.append(tree.groupBy(*path).agg(F.sum("room").alias("room"), F.sum("tokens").alias("tokens")))
-    above = tree.groupBy("top").agg(F.expr(f"sum(tokens) * {percent} div 100").alias("budget"))
+    everything = Window.partitionBy("top")  # one row per domain
+    above = None
     for depth, level in enumerate(LEVELS, start=1):
         parents = ["top", *LEVELS[: depth - 1]]
-        children = rooms[depth - 1].withColumn("weight", _weight(level, weights)).join(above, parents)
+        children = rooms[depth - 1].withColumn("weight", _weight(level, weights))
+        if above is None:
+            total = F.sum("tokens").over(everything).cast("bigint")
+            children = children.withColumn("total", total).withColumn("budget", F.expr(f"total * {percent} div 100"))
+        else:
+            children = children.join(above.drop("top"), parents[1:])
         handed = _handed_down(children, parents, level)
         above = handed.select(*parents, level, F.col("got").alias("budget"))
     return handed.select(*LEVELS, "tokens", "got")
@@ -146,8 +152,12 @@ def plan(docs: DataFrame, domain: Column, weights: dict, percent: int, max_epoch
         F.col("order_key").alias("last_key"),
         F.expr("(wanted - upto + n) div copies").alias("last_take"),
     )
-    return shares.join(ends, list(LEVELS), "left").select(
-        *LEVELS, "tokens", "got", "epochs", "last_key", F.coalesce("last_take", F.lit(0)).alias("last_take")
+    # written: a table of known size is broadcast, or dealt by a shuffle of its own that a skewed join can split
+    return landed(
+        shares.join(ends, list(LEVELS), "left").select(
+            *LEVELS, "tokens", "got", "epochs", "last_key", F.coalesce("last_take", F.lit(0)).alias("last_take")
+        ),
+        "leaves",
     )
 
 
