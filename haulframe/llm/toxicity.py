@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulframe.llm.landed import columns_of, landed
-from haulframe.llm.words import distinct_shingles
+from haulframe.llm.words import distinct_shingles, slices
 
 SAMPLE_ROWS = 20_000  # labelled rows that the model is fitted on, about; all of them if there are fewer
 SUPPORT = 0.01  # share of the toxic texts that hold a lexicon word; each language has words of its own
@@ -110,7 +110,7 @@ def _training_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     A word that is typical of a class stands among many different words. One that a copied text or
     passage carries along always has the same neighbours, and so counts once however often it is copied.
     """
-    for batch in batches:
+    for batch in slices(batches):
         words, toxic, keys = [], [], []
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
             found = ["", *_WORD.findall(folded(text or "")), ""]
@@ -128,7 +128,7 @@ def _phrases(weights: dict[str, float]):
     """(phrase, toxic, key) per pair of neighbouring words of which one is in the lexicon."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[], [], []]
             rows = zip(
                 batch.column("text").to_pylist(),
@@ -156,7 +156,7 @@ def _measured(model: Model, columns: list[tuple[str, pa.DataType]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.automaton()
         b0, b1, b2 = model.coefficients
-        for batch in batches:
+        for batch in slices(batches):
             found = [measures(t.as_py() or "", automaton) for t in batch.column("text")]
             x = np.array(found, float).reshape(-1, 3)
             score = 1.0 / (1.0 + np.exp(-(b0 + b1 * x[:, 0] + b2 * x[:, 1])))

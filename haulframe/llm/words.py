@@ -90,6 +90,13 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, for steps that make many Python objects per row."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def chunks(texts: pa.Array) -> Iterator[Words]:
     """The words of a batch, in chunks of about CHUNK_BYTES; a longer row is a chunk of its own."""
     if not len(texts):
