@@ -3,10 +3,12 @@
 A page is a sequence of elements and text blocks; an element's role is its chain of containers with
 their classes. Over the pages of a host, roles with the same occurrence vector (how often on which
 page) form an equivalence class. Classes that occur on most pages, each role the same number of times,
-are nested into the host's template, and what lies in a template role but in no deeper one is its
-slot. The slot with the most text, leaving out furniture (menus, adverts, comments, ...), is the host's
-main slot; a page's text is what it has there. A page without that slot, or of a host without a
-template, is judged by its own roles alone.
+are the host's template, and what lies in a template role is its slot. The slot with the most text,
+leaving out furniture (menus, adverts, comments, ...), is the host's main slot; a page's text is what it
+has there. Text blocks are tokens too, by role and hash: those that fall into a template class of
+CLASS_TOKENS tokens or more are template text and left out of the slot, except in article and main
+elements, whose text is asked for as it is. A page without that slot, or of a host without a template,
+is judged by its own roles alone.
 
 Occurrence vectors are never built: a class is known by the sum of a hash of (page, count), which
 Spark adds up in parts, so a host with any share of the pages is not gathered in one place.
@@ -14,6 +16,7 @@ Spark adds up in parts, so a host with any share of the pages is not gathered in
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -28,6 +31,7 @@ from haulframe.llm.url_templates import host_of
 SALTS = 16
 TEMPLATE_SHARE = 0.5  # of the host's pages that have a template role
 ARTICLE_WEIGHT = 10  # an article or main element counts for so many plain ones
+CLASS_TOKENS = 2  # roles and text blocks of a class that is taken for template text
 MOST_ROLES = 40  # containers of a role that are told apart, counted from the outside
 
 # Element names.
@@ -49,6 +53,7 @@ FURNITURE_WORDS = frozenset(
     " recommended share sharing social widget toolbar pagination pager complementary contentinfo skip".split()
 )
 PAGE = "page"  # stands for the page itself among roles, which are empty or begin with a slash
+TEXT = "text "  # begins the token of a text block
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _CLOSING = {name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE) for name in RAW}
@@ -190,8 +195,13 @@ def _container(role: str) -> str:
     return role
 
 
+def _text_token(role: str, block: str) -> str:
+    """Stands for a text block among roles."""
+    return TEXT + hashlib.blake2b(f"{role}\n{block}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, page, role, count of blocks, characters) per page and role that is not furniture, and for the page."""
+    """(host, page, role, count of blocks, characters) per page and role that is not furniture, text block outside articles, and for the page."""
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
         for host, page, text in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), batch.column("html"), strict=True):
@@ -204,9 +214,11 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own = roles.setdefault(_container(role), [0, 0])
                     own[0] += 1
                     own[1] += len(block)
+                    if _weight(role) == 1:
+                        roles.setdefault(_text_token(role, block), [0, 0])[0] += 1
             for role, (count, chars) in roles.items():
                 # blocks of an article differ in number by nature: the article itself occurs once
-                once = 1 if role != PAGE and _weight(role) > 1 else count
+                once = 1 if role != PAGE and not role.startswith(TEXT) and _weight(role) > 1 else count
                 for column, value in zip(out, (host, page, role, once, chars), strict=True):
                     column.append(value)
         types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
@@ -218,14 +230,19 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for slot, page in zip(batch.column("slot").to_pylist(), batch.column("html"), strict=True):
+        fixed = batch.column("fixed")
+        for row, (slot, page) in enumerate(zip(batch.column("slot").to_pylist(), batch.column("html"), strict=True)):
             page = page.as_py()
             found = blocks(page) if page else []
             own = None
             if slot is None or not any(_inside(role, slot) for role, furniture, _ in found if not furniture):
                 own = _main_role(found)
             wanted = own if own is not None else slot
-            texts.append(" ".join(t for role, furniture, t in found if not furniture and wanted is not None and _inside(role, wanted)))
+            slotted = [(role, t) for role, furniture, t in found if not furniture and wanted is not None and _inside(role, wanted)]
+            known = set(fixed[row].as_py() or ()) if slotted else set()
+            left = [t for role, t in slotted if not known or _weight(role) > 1 or _text_token(role, t) not in known]
+            # a page of nothing but repeated text, such as a copy of another, is no template
+            texts.append(" ".join(left or [t for _, t in slotted]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
         )
@@ -236,7 +253,10 @@ def _inside(role: str, slot: str) -> bool:
 
 
 def main_slots(pages: DataFrame) -> DataFrame:
-    """``host``, ``slot``: the main slot of each host that has a template; needs host, page, html."""
+    """``host``, ``slot``, ``fixed`` (tokens of template text) of each host that has a template; needs host, page, html.
+
+    A host's tokens of template text stand on half of its pages, so they are at most twice those of a page.
+    """
     found = pages.mapInArrow(_occurrences, "host string, page bigint, role string, n bigint, chars bigint")
     roles = found.groupBy("host", "role").agg(
         F.count("*").alias("pages"),
@@ -246,11 +266,20 @@ def main_slots(pages: DataFrame) -> DataFrame:
     roles = landed(roles, "roles")
     sizes = roles.where(F.col("role") == PAGE).select("host", F.col("pages").alias("all"))
     roles = roles.where(F.col("role") != PAGE)
-    classes = roles.select("host", "vector", "pages").distinct()
-    valid = classes.join(sizes, "host").where(F.col("pages") >= F.col("all") * TEMPLATE_SHARE).where("all > 1")
+    enough = roles.join(sizes, "host").where(F.col("pages") >= F.col("all") * TEMPLATE_SHARE).where("all > 1")
+    text = F.col("role").startswith(TEXT)
+    classes = enough.groupBy("host", "vector", "pages", "all").agg(
+        F.count("*").alias("tokens"),
+        F.collect_list(F.when(text, F.col("role"))).alias("texts"),
+        F.collect_list(F.when(~text, F.struct("role", "chars"))).alias("roles"),
+    )
+    # the page itself is in every class of tokens that stand once on each page
+    size = F.col("tokens") + (F.col("pages") == F.col("all")).cast("int")
+    fixed = classes.where((size >= CLASS_TOKENS) & (F.col("pages") > 1)).groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("fixed"))
+    slots = classes.select("host", F.explode("roles").alias("r")).select("host", "r.role", "r.chars")
     heavy = F.when(F.col("role").rlike("/(article|main)([./]|$)"), ARTICLE_WEIGHT).otherwise(1) * F.col("chars")
-    slots = roles.join(valid.select("host", "vector", "pages"), ["host", "vector", "pages"])
-    return slots.groupBy("host").agg(F.min_by("role", F.struct(-heavy, F.col("role"))).alias("slot"))
+    slots = slots.groupBy("host").agg(F.min_by("role", F.struct(-heavy, F.col("role"))).alias("slot"))
+    return slots.join(fixed, "host", "left")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -271,6 +300,6 @@ def main_texts(pages: DataFrame) -> DataFrame:
     )
     slots = landed(main_slots(rows.select("host", "page", "html")), "slots")
     slots = slots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    placed = rows.drop("page").join(slots, ["host", "salt"], "left").select("page_id", "url", "html", "slot")
+    placed = rows.drop("page").join(slots, ["host", "salt"], "left").select("page_id", "url", "html", "slot", "fixed")
     out = placed.mapInArrow(_extracted, "page_id bigint, url string, text string")
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))

@@ -80,3 +80,14 @@ def test_whole_table(spark, sf_dir):
     assert len(rows) == len(pages)
     for r in rows:
         assert r.text == article_text(pages[r.page_id]) and r.n_chars == len(r.text)
+
+
+def test_template_text_inside_the_slot_is_left_out(texts):
+    """Text that stands on most pages of a host goes, whatever its class is called; text of few pages stays."""
+
+    def main(n):
+        boxes = "<div class=xq7><p>Call us now</p></div><div class=zz>All rights kept</div>"
+        return f"<div class=story><p>{'long text ' * 40}{n}</p>{boxes}<p>own end {n % 3}</p></div>"
+
+    got = texts([page(main(n), n=n) for n in range(6)])
+    assert got == {n: " ".join(f"{'long text ' * 40}{n} own end {n % 3}".split()) for n in range(6)}
