@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haulframe.llm import cover_tree, decontaminate, html_slots, minhash, mixing, passages, pii, token_files, toxicity, url_templates
+from haulframe.llm import cover_tree, decontaminate, filter_audit, html_slots, minhash, mixing, passages, piece_table, pii, token_files, toxicity, url_templates, vector_codes
 from haulframe.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -71,3 +71,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_vector_codes", vector_codes.coded_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_sentencepiece")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_table.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_filter_audit", filter_audit.audit_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
