@@ -13,7 +13,9 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,10 +61,9 @@ def chunks(marked: str) -> Iterator[list[str]]:
     yield _CHUNKS.findall(marked, start)
 
 
-def chunk_ids(processor: sentencepiece.SentencePieceProcessor, some: list[str]) -> list[list[int]]:
+def chunk_ids(processor: sentencepiece.SentencePieceProcessor, tails: list[str]) -> list[list[int]]:
     """Ids of chunks. The library puts the first marker itself, so a chunk is given without it; a marker alone is one piece."""
-    out = processor.encode([c[1:] for c in some], num_threads=1)
-    return [ids if c != MARK else [processor.piece_to_id(MARK)] for c, ids in zip(some, out, strict=True)]
+    return [ids or [processor.piece_to_id(MARK)] for ids in processor.encode(tails, num_threads=1)]
 
 
 def packed(numbers: list[np.ndarray], blob: bytes = b"") -> bytes:
@@ -84,29 +85,41 @@ def unpacked(data: bytes) -> tuple[list[np.ndarray], bytes]:
     return out, raw[at:]
 
 
+class _Numbers(dict):
+    """Numbers in order of first use."""
+
+    def __missing__(self, tail: str) -> int:
+        number = self[tail] = len(self)
+        return number
+
+
 class Block:
-    """Documents as numbers of their chunks; the more often a chunk stands in the block, the smaller its number."""
+    """Documents as numbers of their chunks; the more often a chunk stands in the block, the smaller its number.
+
+    A chunk is named by what follows its first marker.
+    """
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.doc_ids: list[int | None] = []
-        self.places: list[np.ndarray] = []
+        self.sizes: list[int] = []
+        self.along = array("i")
         self.chars = 0
 
     def add(self, doc_id: int | None, marked: str) -> None:
-        known, parts = self.known, []
-        for some in chunks(marked):
-            for c in some:
-                if c not in known:
-                    known[c] = len(known)
-            parts.append(np.fromiter((known[c] for c in some), np.int32, len(some)))
+        number, before = self.known.__getitem__, len(self.along)
+        if len(marked) <= PART_CHARS and MARK * 2 not in marked:
+            self.along.extend(map(number, marked.split(MARK)[1:]))
+        else:
+            for some in chunks(marked):
+                self.along.extend([number(c[1:]) for c in some])
         self.doc_ids.append(doc_id)
-        self.places.append(np.concatenate(parts))
+        self.sizes.append(len(self.along) - before)
         self.chars += len(marked)
 
     def ranked(self) -> tuple[list[str], np.ndarray]:
         """The chunks by number, and the numbers of all documents one after another."""
-        along = np.concatenate(self.places) if self.places else np.zeros(0, np.int32)
+        along = np.frombuffer(self.along, np.int32)
         order = np.argsort(-np.bincount(along, minlength=len(self.known)), kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
@@ -140,7 +153,7 @@ def _named(name: str, names: list[str]) -> str:
 
 def _document_rows(name: str, block: Block) -> Iterator[pa.RecordBatch]:
     names, along = block.ranked()
-    sizes = np.array([len(p) for p in block.places], np.uint32)
+    sizes = np.array(block.sizes)
     row = {
         "block": pa.array([_named(name, names)]),
         "doc_ids": pa.array([block.doc_ids], pa.list_(pa.int64())),
@@ -183,10 +196,11 @@ def _segmented(path: str) -> Callable:
                 words = [blob[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
                 new = list({w for w in words if w not in table})
                 for w, ids in zip(new, chunk_ids(processor, [w.decode() for w in new]), strict=True):
-                    table[w] = np.array(ids, np.uint32)
+                    table[w] = ids
                     held += 50 + len(w)
                 found = [table[w] for w in words]
-                answers.append(packed([gaps, np.array([len(f) for f in found]), np.concatenate(found)]))
+                ids = np.fromiter(chain.from_iterable(found), np.int64)
+                answers.append(packed([gaps, np.array(list(map(len, found))), ids]))
             yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(answers, pa.binary())], ["block", "answer"])
 
     return run
@@ -253,7 +267,13 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         processor = model(path)
         for batch in slices(batches):
-            texts = [None if ids is None else processor.decode(ids) if ids else "" for ids in batch.column("ids").to_pylist()]
+            ids = batch.column("ids")
+            ends = ids.offsets.to_numpy()
+            every = ids.values.slice(ends[0], ends[-1] - ends[0]).to_numpy(zero_copy_only=False).tolist()
+            ends = (ends - ends[0]).tolist()
+            lists = [every[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+            found = iter(processor.decode([x for x in lists if x]))
+            texts = [(next(found) if x else "") if valid else None for x, valid in zip(lists, ids.is_valid().to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, decoded string")
