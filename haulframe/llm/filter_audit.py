@@ -4,15 +4,16 @@ Each filter has a table of the ids that fail it. What a filter removes after oth
 on which went before, not on their order, so the prefixes are sets: 2 to the number of filters. The survivors
 of a prefix are those of a shorter one without (left anti) the failing ids of one more filter, and what the
 next filter removes is survivors with (left semi) its failing ids. Prefixes of one size are worked off
-together, as rows with the prefix beside the id.
+together, as rows with the prefix beside the id. All tables are bucketed by id, so no join moves a row.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from itertools import permutations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulframe.llm.landed import landed
@@ -25,6 +26,7 @@ LEAST_DISTINCT = 50  # per cent of the words
 MOST_CAPITALS = 2  # per cent of the characters
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
 MARKS = "[#$%&*|]"
+BUCKET_ROWS = 10_000  # documents of a bucket of the id tables, as far as the session has partitions
 COPIES = "E"  # the filter that compares rows
 
 
@@ -54,45 +56,73 @@ def audited_rows(docs: DataFrame, filters: dict[str, Column] | None = None) -> D
     return landed(rows.withColumn("id", F.monotonically_increasing_id()), "audited")
 
 
-def failing_ids(rows: DataFrame) -> DataFrame:
-    """The id tables, one folder per filter: ``id``, ``letter``. Copies of a text with a smaller doc_id fail too."""
-    own = rows.select("id", F.explode("fails").alias("letter"))
+class IdTables:
+    """Tables bucketed by ``id``, so that joins on it move no rows. Files go to the shared folder; ``drop`` forgets the names."""
+
+    def __init__(self, spark: SparkSession, rows: int):
+        self.spark, self.names = spark, []
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = max(1, min(most, -(-rows // BUCKET_ROWS)))
+
+    def stored(self, df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+        name = f"{label}_{uuid.uuid4().hex[:12]}"
+        self.names.append(name)
+        writer = df.write.partitionBy(*by) if by else df.write
+        writer.bucketBy(self.buckets, "id").option("path", new_path(self.spark, label)).format("parquet").saveAsTable(name)
+        return self.spark.table(name)
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.buckets, "id")
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", {"name": name})
+
+
+def failing_ids(rows: DataFrame, letters: str, tables: IdTables) -> DataFrame:
+    """``id`` and ``filter`` (a bit, the n-th of the letters at 2^n); one folder and id table per filter.
+
+    Copies of a text with a smaller doc_id fail COPIES.
+    """
     texts = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     copied = landed(texts.where("first < last").select("digest", "first"), "copied")
     later = rows.select("id", "digest", "doc_id").join(copied, "digest").where("doc_id > first")
-    path = new_path(rows.sparkSession, "failing")
-    own.unionByName(later.select("id", F.lit(COPIES).alias("letter"))).write.partitionBy("letter").parquet(path)
-    return rows.sparkSession.read.schema("id bigint, letter string").parquet(path)
-
-
-def _bit(letters: str, letter: Column) -> Column:
-    return reduce(lambda out, i: F.when(letter == letters[i], F.lit(1 << i)).otherwise(out), range(len(letters)), F.lit(0))
+    own = rows.select("id", F.explode("fails").alias("letter"))
+    every = own.unionByName(later.select("id", F.lit(COPIES).alias("letter")))
+    bits = F.create_map(*[F.lit(x) for n, letter in enumerate(letters) for x in (letter, 1 << n)])
+    return tables.stored(tables.dealt(every.select("id", bits[F.col("letter")].alias("filter"))), "failing", ("filter",))
 
 
-def prefixes(rows: DataFrame, failing: DataFrame, letters: str) -> tuple[DataFrame, DataFrame]:
+def prefixes(rows: DataFrame, failing: DataFrame, filters: int, tables: IdTables) -> tuple[DataFrame, DataFrame]:
     """What is kept after each prefix, and what each further filter removes then, per part.
 
-    ``rows`` holds id, part, good, toxic. Returns (part, mask, kept) and (part, mask, letter, removed,
-    good_lost, toxic_lost); a mask has a bit per filter of the prefix.
+    ``rows`` holds id, part, good, toxic. Returns (part, mask, kept) and (part, mask, filter, removed,
+    good_lost, toxic_lost); a mask has the bits of the filters of the prefix. Rows that fail no filter are
+    kept by every prefix, so they are counted once, beside each mask.
     """
-    alive = landed(rows.select("id", "part", "good", "toxic", F.lit(0).alias("mask")), "alive-0")
-    kept, removed = [], []
-    for done in range(len(letters) + 1):
+    every = tables.stored(tables.dealt(rows.select("id", "part", "good", "toxic")), "rows")
+    failing = failing.hint("merge")
+    clean = every.join(failing, "id", "left_anti").groupBy("part").agg(F.count("*").alias("kept"))
+    kept = [landed(clean, "clean").withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit((1 << filters) - 1)))).select("part", "mask", "kept")]
+    alive = tables.stored(every.join(failing, "id", "left_semi").withColumn("mask", F.lit(0)), "alive_0")
+    removed = []
+    for done in range(filters + 1):
         kept.append(alive.groupBy("part", "mask").agg(F.count("*").alias("kept")))
-        if done == len(letters):
+        if done == filters:
             break
-        each = F.explode(F.array(*[F.lit(x) for x in letters])).alias("letter")
-        tried = alive.select("*", each).withColumn("bit", _bit(letters, F.col("letter"))).where(F.col("mask").bitwiseAND(F.col("bit")) == 0)
-        gone = tried.join(failing, ["id", "letter"], "left_semi")
-        removed.append(
-            gone.groupBy("part", "mask", "letter").agg(
-                F.count("*").alias("removed"), F.count_if("good").alias("good_lost"), F.count_if("toxic").alias("toxic_lost")
-            )
-        )
+        each = F.explode(F.array(*[F.lit(1 << n) for n in range(filters)])).alias("next")
+        tried = alive.select("*", each).where(F.col("mask").bitwiseAND(F.col("next")) == 0)
+        # the filter is told apart by its bit, not as a key, so that the id alone deals both sides
+        fails = (tried["id"] == failing["id"]) & (tried["next"].bitwiseAND(failing["filter"]) != 0)
+        gone = tried.join(failing, fails, "left_semi")
+        counts = [F.count("*").alias("removed"), F.count_if("good").alias("good_lost"), F.count_if("toxic").alias("toxic_lost")]
+        removed.append(landed(gone.groupBy("part", "mask", F.col("next").alias("filter")).agg(*counts), "removed"))
         # a set of filters is reached once, by its letters in order
-        left = tried.where("bit > mask").join(failing, ["id", "letter"], "left_anti")
-        alive = landed(left.select("id", "part", "good", "toxic", (F.col("mask") + F.col("bit")).alias("mask")), f"alive-{done + 1}")
-    return landed(reduce(DataFrame.unionAll, kept), "kept"), landed(reduce(DataFrame.unionAll, removed), "removed")
+        left = tried.where("next > mask").join(failing, fails, "left_anti")
+        longer = left.select("id", "part", "good", "toxic", (F.col("mask") + F.col("next")).alias("mask"))
+        alive = tables.stored(longer, f"alive_{done + 1}")
+    sums = reduce(DataFrame.unionAll, kept).groupBy("part", "mask").agg(F.sum("kept").alias("kept"))
+    return landed(sums, "kept"), reduce(DataFrame.unionAll, removed)
 
 
 def audit(docs: DataFrame, labels: DataFrame, filters: dict[str, Column] | None = None) -> DataFrame:
@@ -108,31 +138,34 @@ def audit(docs: DataFrame, labels: DataFrame, filters: dict[str, Column] | None
     filters = text_filters() if filters is None else filters
     letters = "".join(sorted({*filters, COPIES}))
     rows = audited_rows(docs, filters)
-    failing = failing_ids(rows)
+    tables = IdTables(docs.sparkSession, rows.count())
+    failing = failing_ids(rows, letters, tables)
     marks = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic")
     )
     marked = lookup(rows.select("id", "part", "doc_id"), marks, ["doc_id"], "left")
     no = F.lit(False)
     kept, removed = prefixes(
-        marked.select("id", "part", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")), failing, letters
+        marked.select("id", "part", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")), failing, len(letters), tables
     )
+    tables.drop()
 
     full = (1 << len(letters)) - 1
     before = F.bit_count("mask")
-    facts = removed.withColumn("bit", _bit(letters, F.col("letter"))).groupBy("part", "letter").agg(
+    facts = removed.groupBy("part", "filter").agg(
         F.sum(F.when(F.col("mask") == 0, F.col("removed"))).alias("failing"),
-        F.sum(F.when(F.col("mask") == F.lit(full) - F.col("bit"), F.col("removed"))).alias("unique_fails"),
+        F.sum(F.when(F.col("mask") == F.lit(full) - F.col("filter"), F.col("removed"))).alias("unique_fails"),
         F.sum(F.col("removed") * F.factorial(before) * F.factorial(F.lit(len(letters) - 1) - before)).alias("shapley"),
     )
     steps = orders(letters)
     table = docs.sparkSession.createDataFrame(
-        [(n, *step) for n, step in enumerate(steps)], "n int, filter_order string, step int, letter string, mask int, after int"
+        [(n, order, step, mask, after, after - mask) for n, (order, step, _, mask, after) in enumerate(steps)],
+        "n int, filter_order string, step int, mask int, after int, filter int",
     )
     parts = kept.select("part").distinct().withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(len(steps) - 1))))
     # the orders are a table of fixed size: the factorial of the filters times their number
     out = parts.join(F.broadcast(table), "n")
-    out = out.join(removed, ["part", "mask", "letter"], "left").join(facts, ["part", "letter"], "left")
+    out = out.join(removed, ["part", "mask", "filter"], "left").join(facts, ["part", "filter"], "left")
     out = out.join(kept.withColumnRenamed("mask", "after"), ["part", "after"], "left")
     count = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("kept", "removed", "unique_fails", "good_lost", "toxic_lost", "shapley")}
     redundant = (F.coalesce("failing", F.lit(0)) - F.coalesce("removed", F.lit(0))).cast("bigint").alias("redundant")
