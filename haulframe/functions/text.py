@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,9 +66,35 @@ def format_currency(amount: str, sign: str = RUPEE) -> Column:
     return F.concat(F.lit(sign), F.format_number(F.col(amount), 2))
 
 
-def parse_currency(text: str) -> Column:
-    """The amount in a formatted currency text, whatever its sign and separators; null when it holds no number."""
-    return F.regexp_replace(F.col(text), "[^0-9.+-]", "").try_cast("double")
+def _amount_pattern(decimal: str) -> tuple[str, str]:
+    """A pattern with three groups (before, number, after), and the characters that may group digits."""
+    point, other = re.escape(decimal), "." if decimal == "," else ","
+    group = f"[{re.escape(other)}'\u00A0\u202F ]"
+    space, sign = "[\\s\u00A0\u202F]*+", "[+\\-\u2212]?+"
+    unit = f"(?:[^\\d\\s\\p{{Cntrl}}\u00A0\u202F.,'()+\\-\u2212]++\\.?+{space})*+"
+    digits = f"(?:\\d{{1,3}}(?:{group}\\d{{2,3}})*{group}\\d{{3}}(?!\\d)|\\d++)"
+    number = f"(?:{digits}(?:{point}\\d*+)?+|{point}\\d++)(?:[eE][+-]?+\\d++)?+"
+    before = f"{space}\\(?+{space}{sign}{space}{unit}{sign}{space}"
+    after = f"{space}{unit}{sign}{space}\\)?+{space}"
+    return f"^({before})({number})({after})$", group
+
+
+def parse_currency(text: str, decimal: str = ".") -> Column:
+    """The amount in a formatted currency text; null when the whole text is not one amount.
+
+    An amount is a number with a unit (``₹``, ``Rs.``, ``EUR``) before or after it. ``decimal`` is the
+    decimal mark, ``.`` or ``,``. The other of the two, an apostrophe or a space may group the digits before
+    it, in twos or threes, the last group in threes (``1,00,000.50``). One sign, before or after the unit or at
+    the end, or accounting brackets give its sign: ``-5``, ``₹-5``, ``5-`` and ``(5)`` are -5. More than one of
+    these, or one bracket alone, is no amount. A number may have an exponent: ``1e3`` is 1000.
+    """
+    if decimal not in (".", ","):
+        raise ValueError("the decimal mark is a point or a comma")
+    pattern, group = _amount_pattern(decimal)
+    before, number, after = (F.regexp_extract(F.col(text), pattern, i) for i in (1, 2, 3))
+    size = F.regexp_replace(F.regexp_replace(number, group, ""), re.escape(decimal), ".").try_cast("double")
+    signs = F.regexp_replace(F.concat(before, after), "[^()+\\-\u2212]", "")
+    return F.when(signs.isin("", "+"), size).when(signs.isin("-", "\u2212", "()"), -size)
 
 
 def has_non_digit(text: str) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,28 +47,42 @@ def scrub_staff(df: DataFrame) -> DataFrame:
     return replace_any_case(df, "vehicle_type", VEHICLE_WORDS)
 
 
-def field_count(line: str, sep: str = ",", quote: str = '"', escape: str = "\\") -> Column:
+END = "\uE000end of line\uE000"  # put behind a line as one more field
+
+
+def field_count(line: str, sep: str = ",", quote: str = '"', escape: str = "\\", most: int = 64) -> Column:
     """Number of fields in a raw line as Spark's reader counts them with the same separator, quote and escape.
 
-    A field that opens with a quote ends at the next one that is not escaped, so separators in
-    between do not count. Records that run over several lines are for the multi-line reader.
+    Its own parser does the counting: the line gets one more field with a known text, and the place where that
+    text turns up says how many fields stand before it; where it is swallowed by a quote that never closes, it
+    ends the last field. ``most`` + 1 stands for any larger number. Null for a line that the reader skips
+    (blank) and for a null. Records that run over several lines are for the multi-line reader.
     """
-    q, e, s = (re.escape(x) for x in (quote, escape, sep))
-    plain = f"[^{q}{e}]*+" if e != q else f"[^{q}]*+"
-    quoted = f"{q}{plain}(?:{e}.{plain})*+{q}" if e != q else f"{q}{plain}(?:{q}{q}{plain})*+{q}"
-    bare = F.regexp_replace(F.col(line), f"(^|{s})\\s*{quoted}", "$1")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + F.lit(1)
+    names = [f"f{i}" for i in range(most + 1)]
+    marked = F.concat(F.replace(F.col(line), F.lit(END), F.lit("")), F.lit(sep + END))
+    schema = ", ".join(f"{name} string" for name in names)
+    row = F.from_csv(marked, schema, {"sep": sep, "quote": quote, "escape": escape})
+
+    def width(fields: Column) -> Column:
+        found = F.lit(most + 1)
+        for i in reversed(range(most + 1)):
+            swallowed = F.when(F.endswith(fields[names[i]], F.lit(END)), F.lit(i + 1))
+            found = F.when(fields[names[i]] == END, F.lit(i)).otherwise(F.coalesce(swallowed, found))
+        return found
+
+    # the row is parsed once; an array is the way to use it several times
+    return F.when(F.col(line).rlike("[^\\x00-\\x20]"), F.transform(F.array(row), width)[0])
 
 
 def count_by_width(
     lines: DataFrame, expected: int, line: str = "value", sep: str = ",", quote: str = '"', escape: str = "\\"
 ) -> DataFrame:
-    """One row: how many lines are short, right and long."""
-    width = field_count(line, sep, quote, escape)
-    return lines.agg(
-        F.count_if(width < expected).alias("fewer"),
-        F.count_if(width == expected).alias("exact"),
-        F.count_if(width > expected).alias("more"),
+    """One row: how many lines are short, right and long. Lines that the reader skips are not counted."""
+    widths = lines.select(field_count(line, sep, quote, escape, expected).alias("width"))
+    return widths.agg(
+        F.count_if(F.col("width") < expected).alias("fewer"),
+        F.count_if(F.col("width") == expected).alias("exact"),
+        F.count_if(F.col("width") > expected).alias("more"),
     )
 
 

@@ -40,6 +40,34 @@ def test_currency_both_ways(spark):
     assert one(spark, text.parse_currency("a"), values=("₹" + "0" * 2000 + "-1".replace("-", "") + ".5", "")) == 1.5
 
 
+AMOUNTS = {
+    "Rs. 500": 500.0, "Rs.1,000.50": 1000.5, "(30.00)": -30.0, "₹(1,200)": None, "(₹1,200)": -1200.0, "1e3": 1000.0, "1.5E-2 EUR": 0.015,
+    "-5": -5.0, "₹-5": -5.0, "-₹5": -5.0, "5-": -5.0, "+7": 7.0, "\u22123": -3.0, "--5": None, "(-5)": None, "(5": None, "5)": None,
+    "1,00,000.50": 100000.5, "1,2": None, "1,234,56": None, "12,34,567": 1234567.0, "1234,567": None, "1,2345": None, "1 234 567.5": 1234567.5,
+    "1'000": 1000.0, ".5": 0.5, "5.": 5.0, "USD 3 net": 3.0, "3 4": None, "1.2.3": None, "": None, "  ": None, "kg": None, "5\x01": None, " US $ 9 ": 9.0,
+    "1.234,56 €": None, "\u00a012\u00a0€": 12.0,
+}
+COMMA_AMOUNTS = {"1.234,56 €": 1234.56, "€ 1.234.567": 1234567.0, "12,5": 12.5, "(0,5)": -0.5, "1,234.56": None, "1 000,25-": -1000.25}
+
+
+@pytest.mark.parametrize("decimal, cases", [(".", AMOUNTS), (",", COMMA_AMOUNTS)])
+def test_amounts(spark, decimal, cases):
+    df = spark.createDataFrame([(t,) for t in [*cases, None]], "t string")
+    got = {r.t: r.v for r in df.select("t", text.parse_currency("t", decimal).alias("v")).collect()}
+    assert got == cases | {None: None}
+
+
+def test_amounts_of_long_texts(spark):
+    df = spark.createDataFrame([(t * 200_000,) for t in (" ", "a ", "1,", "Rs. ", "-", "1", "1 ")], "t string")
+    got = [r.v for r in df.select(text.parse_currency("t").alias("v")).collect()]
+    assert got[:5] == [None] * 5 and got[5] == float("inf") and got[6] is None
+
+
+def test_averages_are_not_rounded(spark):
+    df = spark.createDataFrame([(0.125,), (10.001,), (None,), (float("nan"),)], "a double")
+    assert df.agg(numeric.money_sum("a"), numeric.money_avg("a")).first()[:] == (10.13, 5.063)
+
+
 def test_case_refuses_numbers(spark):
     df = spark.createDataFrame([("Ab", 1.5)], "a string, n double")
     assert text.standard_case(df, lower=("a",)).first().a == "ab"
