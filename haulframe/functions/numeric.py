@@ -15,7 +15,10 @@ def money(amount: str | Column) -> Column:
 
 
 def exact(amount: str | Column, scale: int = 6) -> Column:
-    """The amount as a decimal with ``scale`` places, to be added up exactly in any order."""
+    """The amount as a decimal with ``scale`` places, to be added up exactly in any order.
+
+    NaN is no amount: it counts as not given, in totals and in averages.
+    """
     col = F.col(amount) if isinstance(amount, str) else amount
     return col.cast(f"decimal(18,{scale})")
 
@@ -31,8 +34,9 @@ def money_sum(amount: str | Column, scale: int = 6) -> Column:
 
 
 def money_avg(amount: str) -> Column:
-    """Exact total over the count of amounts, as a double."""
-    return money_sum(amount) / F.count(amount)
+    """Exact total, not rounded, over the count of amounts, as a double."""
+    given = exact(amount)
+    return F.sum(given).cast("double") / F.count(given)
 
 
 def round_money(amount: Column) -> Column:

@@ -14,15 +14,15 @@ from haulframe.sources.scratch import new_path
 def subtotals(base: DataFrame, keys: list[str], amount: str, rows: str, cube: bool = False) -> DataFrame:
     """Sum and average per key combination with subtotals, and the grouping id that tells them apart.
 
-    ``amount`` is a partial sum as a decimal and ``rows`` the number of rows in it. Both are first added
+    Only the sum is rounded; the average is that of the total as it is. ``amount`` is a partial sum as a decimal and ``rows`` the number of rows in it. Both are first added
     up per full key, so the copies that a roll-up makes of its input are copies of that small result.
     """
     fine = base.groupBy(*keys).agg(F.sum(amount).alias("_sum"), F.sum(rows).alias("_n"))
     grouped = fine.cube(*keys) if cube else fine.rollup(*keys)
-    total = rounded(F.sum("_sum"))
+    total = F.sum("_sum")
     return grouped.agg(
-        total.alias("sumamt"),
-        (total / F.sum("_n")).alias("avgamt"),
+        rounded(total).alias("sumamt"),
+        (total.cast("double") / F.sum("_n")).alias("avgamt"),
         F.grouping_id().cast("int").alias("level"),
     )
 
@@ -70,35 +70,55 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+WHOLE_NUMBERS = ("tinyint", "smallint", "int")
+
+
 def quantiles(df: DataFrame, columns: list[str], shares: tuple[float, ...]) -> DataFrame:
     """``column_name`` and one text column ``q0``, ``q1``, ... per share: exact quantiles of columns of any ordered type.
 
     A quantile is the smallest value with at least that share of the values up to it, in the column's
     own type and Spark's order (NaN above infinity); nulls do not count, and a column without values
-    has null quantiles. Values are counted first, the counts are dealt by range of value and written,
-    and running totals over the ranges tell in which one a rank lies; only that range is gone through
-    value by value. So a column takes two passes over its counted values, whatever they are.
+    has null quantiles. All columns go together, as rows of a column number and a value, which stands in a
+    field for its type: one shuffle counts equal values, a second deals the counts by range of column and
+    value, and they are written. Running totals over the ranges tell in which one a rank lies; only these
+    ranges (at most one per column and share) are gone through value by value.
     """
-    return reduce(DataFrame.unionByName, [_column_quantiles(df, c, shares) for c in columns])
-
-
-def _column_quantiles(df: DataFrame, column: str, shares: tuple[float, ...]) -> DataFrame:
     spark = df.sparkSession
+    kinds = {c: "bigint" if k in WHOLE_NUMBERS else k for c, k in df.dtypes if c in columns}
+    fields = {kind: f"v{n}" for n, kind in enumerate(dict.fromkeys(kinds[c] for c in columns))}
+    entries = [
+        F.struct(
+            F.lit(n).alias("c"),
+            *[(F.col(c) if kinds[c] == kind else F.lit(None)).cast(kind).alias(name) for kind, name in fields.items()],
+        )
+        for n, c in enumerate(columns)
+    ]
+    value = list(fields.values())
+    given = reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in value])
+    counts = df.select(F.inline(F.array(*entries))).where(given).groupBy("c", *value).agg(F.count("*").alias("n"))
     path = new_path(spark, "counts")
-    counts = df.select(F.col(column).alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
-    counts.repartitionByRange("v").withColumn("range", F.spark_partition_id()).write.parquet(path)
-    counts = spark.read.parquet(path)
-    along = Window.orderBy("range")
-    totals = counts.groupBy("range").agg(F.sum("n").alias("in_range")).withColumns(
-        {"upto": F.sum("in_range").over(along), "all": F.sum("in_range").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))}
+    dealt = counts.repartitionByRange("c", *value).withColumn("range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    counts = spark.read.schema(dealt.schema).parquet(path)
+
+    along = Window.partitionBy("c").orderBy("range")
+    totals = counts.groupBy("c", "range").agg(F.sum("n").alias("in_range")).withColumns(
+        {"upto": F.sum("in_range").over(along), "all": F.sum("in_range").over(Window.partitionBy("c"))}
     )
     ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.greatest(F.lit(1), F.ceil(F.col("all") * F.lit(q))).alias("rank")) for i, q in enumerate(shares)])
-    wanted = totals.select("range", "upto", "in_range", F.inline(ranks)).where("rank <= upto AND rank > upto - in_range")
-    wanted = wanted.select("range", "i", (F.col("rank") - F.col("upto") + F.col("in_range")).alias("rank"))
-    within = Window.partitionBy("range", "i").orderBy("v")
-    reached = counts.join(wanted, "range").withColumn("upto", F.sum("n").over(within)).where("rank <= upto AND rank > upto - n")
-    found = [F.max(F.when(F.col("i") == i, F.col("v").cast("string"))).alias(f"q{i}") for i in range(len(shares))]
-    return reached.agg(*found).select(F.lit(column).alias("column_name"), *[f"q{i}" for i in range(len(shares))])
+    wanted = totals.select("c", "range", "upto", "in_range", F.inline(ranks)).where("rank <= upto AND rank > upto - in_range")
+    wanted = wanted.select("c", "range", "i", (F.col("rank") - F.col("upto") + F.col("in_range")).alias("rank")).collect()
+    looked_at = spark.createDataFrame(wanted, "c int, range int, i int, rank bigint")
+    near = counts.where(F.col("range").isin(sorted({r["range"] for r in wanted}))).join(looked_at, ["c", "range"])
+    within = Window.partitionBy("c", "range", "i").orderBy(*value)
+    reached = near.withColumn("upto", F.sum("n").over(within)).where("rank <= upto AND rank > upto - n")
+    as_text = F.coalesce(*[F.col(v).cast("string") for v in value])
+    stats = [f"q{i}" for i in range(len(shares))]
+    found = [
+        F.max(F.when((F.col("c") == n) & (F.col("i") == i), as_text)).alias(f"{n}__q{i}") for n in range(len(columns)) for i in range(len(shares))
+    ]
+    named = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}__{s}").alias(s) for s in stats]) for n, c in enumerate(columns)]
+    return reached.agg(*found).select(F.inline(F.array(*named)))
 
 
 def profile_with_quartiles(df: DataFrame, columns: list[str]) -> DataFrame:

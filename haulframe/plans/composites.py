@@ -24,7 +24,7 @@ def source_profile(tagged: DataFrame, columns: list[str], key: str, expected: di
     Row and key counts, what de-duplication by row and by key would remove, invalid values, field widths of the
     raw lines (``line``) against the expected number, and the spread of field lengths.
     """
-    width = quality.field_count("line")
+    width = quality.field_count("line", most=max(expected.values()))
     wanted = F.coalesce(*[F.when(F.col("source") == s, F.lit(n)) for s, n in expected.items()])
     total, rows, keys = F.count("*"), F.count_distinct(F.struct(*columns)), F.count_distinct(key)
     return tagged.groupBy("source").agg(

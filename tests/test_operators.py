@@ -67,7 +67,7 @@ def test_fill_refuses_other_types(spark):
 
 def test_width_counts_respect_quotes(spark):
     lines = spark.createDataFrame([("a,b,c",), ("a,b",), ('a,"b,c",d',), ("a,b,c,d",), ("",)], "value string")
-    assert quality.count_by_width(lines, 3).first()[:] == (2, 2, 1)
+    assert quality.count_by_width(lines, 3).first()[:] == (1, 2, 1)  # the reader skips the empty line
 
 
 def test_width_counts_as_the_reader_does(spark):
@@ -79,6 +79,26 @@ def test_width_counts_as_the_reader_does(spark):
     assert doubled[1] == 3
 
 
+def test_widths_agree_with_the_reader(spark, folder):
+    rng = random.Random(8)
+    lines = ["".join(rng.choice('a,,"\\ ') for _ in range(rng.randrange(1, 12))) for _ in range(400)]
+    lines += ['a, "b,c",d', '1,"open,2', "   ", ",", '"a","b"x,c', "a,b,", 'a,"",c', '"', 'a,"b\\']
+    numbered = spark.createDataFrame([(x,) for x in dict.fromkeys(lines)], "value string")
+    path = folder("widths")
+    numbered.coalesce(1).write.text(path)
+    got = {r.value: r.n for r in numbered.select("value", quality.field_count("value", most=6).alias("n")).collect()}
+    read = dict.fromkeys(got)
+    for width in range(1, 13):
+        schema = ", ".join(f"c{i} string" for i in range(width)) + ", _corrupt_record string"
+        # a record is kept as corrupt unless it has as many fields as the schema
+        odd = {r["_corrupt_record"] for r in spark.read.schema(schema).csv(path).collect()}
+        for line in read:
+            if read[line] is None and line.strip() and line not in odd:
+                read[line] = width
+    assert got == {line: None if n is None else min(n, 7) for line, n in read.items()}
+    assert got['a, "b,c",d'] == 4 and got['1,"open,2'] == 2 and got["   "] is None
+
+
 def test_dedup_is_repeatable(spark):
     rows = [(k % 5, v) for k, v in itertools.product(range(10), range(30))]
     random.Random(3).shuffle(rows)
@@ -211,6 +231,27 @@ def test_quantiles_are_exact(spark):
         assert [None if v is None else type(w)(v) for v, w in zip(got[name], want)] == want
 
 
+def test_quantiles_take_two_shuffles_of_the_values(spark, monkeypatch):
+    """Whatever the number of columns: one that counts equal values, one that deals the counts by range."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, dealt = [], DataFrame.repartitionByRange
+    monkeypatch.setattr(DataFrame, "repartitionByRange", lambda self, *a: seen.append(out := dealt(self, *a)) or out)
+    df = spark.range(500).selectExpr("id AS a", "id % 7 AS b", "cast(id AS string) AS c", "cast(id AS double) AS d", "cast(id % 3 AS int) AS e")
+    rows = {r.column_name: r[1:] for r in aggregates.quantiles(df, df.columns, (0.5, 1.0)).collect()}
+    assert rows == {"a": ("249", "499"), "b": ("3", "6"), "c": (sorted(map(str, range(500)))[249], "99"), "d": ("249.0", "499.0"), "e": ("1", "2")}
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(seen) == 1 and plan.count("Exchange") == 2
+
+
+def test_averages_are_of_the_unrounded_total(spark):
+    df = spark.createDataFrame([("a", "x", 0.004)] * 3 + [("b", "x", 0.125), ("b", "y", 10.001)], "k string, l string, v double")
+    partial = df.groupBy("k", "l").agg(F.sum(F.col("v").cast("decimal(18,6)")).alias("s"), F.count("*").alias("n"))
+    rows = {(r.k, r.l): r for r in aggregates.subtotals(partial, ["k", "l"], "s", "n").collect()}
+    assert rows["a", None].avgamt == 0.004 and rows["a", None].sumamt == 0.01
+    assert rows["b", None].avgamt == 5.063 and rows[None, None].avgamt == 10.138 / 5
+
+
 def test_quantiles_rank_nan_last(spark):
     values = [float("nan"), float("inf"), float("-inf"), 1.0, 2.0]
     df = spark.createDataFrame([(v,) for v in values], "x double")
