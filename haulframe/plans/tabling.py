@@ -48,18 +48,21 @@ def tbl_insert_overwrite(spark, sf_dir):
 
 @query(
     "tbl_show_create",
-    "SELECT * FROM (VALUES ('id', 'BIGINT'), ('name', 'STRING'), ('loc', 'INT'), ('balance', 'DOUBLE'), "
-    "('plan', 'STRING')) ddl(column_name, data_type)",
+    "SELECT ddl.*, (SELECT count(*) FROM customer) AS table_rows FROM (VALUES ('id', 'BIGINT'), ('name', 'STRING'), "
+    "('loc', 'INT'), ('balance', 'DOUBLE'), ('plan', 'STRING')) ddl(column_name, data_type)",
 )
 def tbl_show_create(spark, sf_dir):
     name = f"{tables.scratch_schema(spark)}.clients"
-    tables.save_table(clients(spark, sf_dir).where("1 = 0"), name)  # the layout is all that is asked for
+    tables.save_table(clients(spark, sf_dir), name)
+    counted = spark.table(name).agg(F.count("*").alias("table_rows"))
     ddl = tables.table_ddl(spark, name)
     lines = ddl.select(F.explode(F.split("createtab_stmt", "\n")).alias("line"))
     column = r"^  (\w+) ([A-Z]+)"
-    return lines.where(F.col("line").rlike(column)).select(
+    columns = lines.where(F.col("line").rlike(column)).select(
         F.regexp_extract("line", column, 1).alias("column_name"), F.regexp_extract("line", column, 2).alias("data_type")
     )
+    named = columns.agg(F.collect_list(F.struct("column_name", "data_type")).alias("columns")).withColumn("one", F.lit(1))
+    return named.join(counted.withColumn("one", F.lit(1)), "one").select(F.inline("columns"), "table_rows")
 
 
 @query("tbl_drop", "SELECT count(*) AS source_rows, true AS gone FROM customer")

@@ -161,6 +161,26 @@ def test_json_documents(spark, folder):
     assert bag(readers.read_json_documents(spark, path, "id bigint, name string").select("id", "name")) == bag(df)
 
 
+def test_json_documents_are_even_in_bytes(spark, folder):
+    # a third of the rows share a key, and rows differ in size
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("id"), F.repeat(F.lit("x"), F.col("id").cast("int") % 200).alias("name"))
+    counts = []
+    for size in (50_000, 200_000):
+        path = folder("documents")
+        sinks.write_json_documents(df, path, "id", document_bytes=size)
+        sizes = [os.path.getsize(os.path.join(path.removeprefix("file:"), f)) for f in files(path, ".txt")]
+        assert all(size * 0.99 < s < size * 1.02 for s in sorted(sizes)[1:])
+        assert bag(readers.read_json_documents(spark, path, "id bigint, name string")) == bag(df)
+        counts.append(len(sizes))
+    assert counts[0] > 3 * counts[1]
+
+
+def test_json_documents_of_no_rows(spark, folder):
+    path = folder("documents")
+    sinks.write_json_documents(spark.range(0), path, "id")
+    assert readers.read_json_documents(spark, path, "id bigint").count() == 0
+
+
 def test_listing_and_preview(spark, clients, folder):
     path = folder("list")
     sinks.write_csv(clients, path, header=True)
