@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import exact, rounded
+from haulframe.functions.numeric import exact_sum, rounded
 
 # Copies of a lookup side, one per salt, so that one key of the other side spreads over as many tasks.
 SALTS = 16
@@ -47,15 +47,27 @@ def missing(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
     return df.join(other.select(on).distinct(), on, "left_anti")
 
 
+def _alone(df: DataFrame, other: DataFrame, on: str, salts: int = SALTS) -> DataFrame:
+    """Rows without a match, as ``missing`` gives them, with the distinct keys of the other side repeated per salt.
+
+    Adaptive execution does not split a side that meets an aggregate, so a key with a large share of the rows
+    is spread over ``salts`` tasks here.
+    """
+    keys = other.select(on).distinct().withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    return salted.join(keys, [on, "_salt"], "left_anti").drop("_salt")
+
+
 def reconcile(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Full outer join on one key, which is never null for a one-sided row that has it.
 
-    Spark cannot split an oversized partition of a full join. A right join plus the unmatched left
-    rows gives the same rows, and both parts can be split.
+    Spark cannot split an oversized partition of a full join, and of a right join only its right side. An
+    inner join, of which it splits both sides, plus the unmatched rows of either side, salted against the distinct
+    keys of the other, gives the same rows, wherever a key with a large share of the rows stands.
     """
-    matched = left.join(right, on, "right")
-    unmatched = missing(left, right, on)
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    matched = left.join(right, on)
+    lone_left, lone_right = _alone(left, right, on), _alone(right, left, on)
+    return matched.unionByName(lone_left, allowMissingColumns=True).unionByName(lone_right, allowMissingColumns=True)
 
 
 def peers_per_member(staff: DataFrame, hub: str, member: str) -> DataFrame:
@@ -107,7 +119,7 @@ def totals_across(
     of ``amount`` (a right column) over all pairs follow by multiplication.
     """
     a = left.groupBy(on).agg(F.count("*").alias(left_name))
-    b = right.groupBy(on).agg(F.count("*").alias(right_name), F.sum(exact(amount)).alias("_sum"))
+    b = right.groupBy(on).agg(F.count("*").alias(right_name), exact_sum(amount).alias("_sum"))
     return a.join(b, on).select(
         on,
         left_name,

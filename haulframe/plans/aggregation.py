@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from haulframe.functions.numeric import exact, money_avg, money_sum, rounded
+from haulframe.functions.numeric import merged_sums, money_avg, money_sum, partial_sums, rounded, total_of
 from haulframe.operators import aggregates
 from haulframe.plans import inputs as src
 from haulframe.plans.registry import query
@@ -61,11 +61,11 @@ def agg_group_count_distinct(spark, sf_dir):
 )
 def agg_group_sum(spark, sf_dir):
     # Lines are added up per order before they meet the orders.
-    per_order = src.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(exact("l_quantity")).alias("kg"))
+    per_order = src.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(*partial_sums("kg", "l_quantity"))
     orders = src.table(spark, sf_dir, "orders")
     joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey)
     grouped = joined.groupBy(F.col("o_orderpriority").alias("fleet_class"))
-    return grouped.agg(rounded(F.sum("kg")).alias("sum_weight_kg"))
+    return grouped.agg(*merged_sums("kg")).select("fleet_class", rounded(total_of("kg")).alias("sum_weight_kg"))
 
 
 def hub_costs(spark, sf_dir):
@@ -73,12 +73,13 @@ def hub_costs(spark, sf_dir):
     per_member = (
         src.shipments(spark, sf_dir)
         .groupBy("staff_id", "fleet_class")
-        .agg(F.sum(exact("shipment_cost")).alias("cost"), F.count("*").alias("n"))
+        .agg(*partial_sums("cost", "shipment_cost"), F.count("*").alias("n"))
     )
     per_hub = (
         per_member.join(src.crew(spark, sf_dir), "staff_id")
         .groupBy("place_key", "fleet_class")
-        .agg(F.sum("cost").alias("cost"), F.sum("n").alias("n"))
+        .agg(*merged_sums("cost"), F.sum("n").alias("n"))
+        .select("place_key", "fleet_class", total_of("cost").alias("cost"), "n")
     )
     return src.name_hubs(per_hub, spark, sf_dir)
 

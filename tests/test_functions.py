@@ -1,6 +1,7 @@
 """Worked examples for the column functions and staff rules."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,10 +65,30 @@ def test_amounts_of_long_texts(spark):
 
 
 def test_averages_are_not_rounded(spark):
-    df = spark.createDataFrame([(0.125,), (10.001,), (None,), (float("nan"),)], "a double")
+    values = [0.125, 10.001, None, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "a double")
     assert df.agg(numeric.money_sum("a"), numeric.money_avg("a")).first()[:] == (10.13, 5.063)
 
 
+def test_partial_sums_are_those_of_decimals(spark):
+    rng = random.Random(6)
+    rows = [(rng.randrange(3), round(rng.choice([1, -1]) * rng.random() * 10 ** rng.randrange(9), rng.randrange(7))) for _ in range(3000)]
+    rows += [(0, -0.000001), (1, 999999999999.5), (2, -0.5), (2, 1e-9), (2, -1e-20)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    per_key = df.groupBy("k", F.pmod(F.hash("v"), F.lit(5))).agg(*numeric.partial_sums("s", "v"))
+    got = {r.k: r.t for r in per_key.groupBy("k").agg(*numeric.merged_sums("s")).select("k", numeric.total_of("s").alias("t")).collect()}
+    want = {r.k: r.t for r in df.groupBy("k").agg(F.sum(numeric.exact("v")).alias("t")).collect()}
+    assert got == want
+    assert df.where("false").agg(numeric.money_sum("v"), numeric.money_avg("v")).first()[:] == (None, None)
+    decimals = df.where("k = 0").select(numeric.exact("v").alias("v"))
+    assert decimals.agg(numeric.exact_sum("v")).first()[0] == want[0]
+
+
+def test_amounts_too_large_are_an_error(spark):
+    with pytest.raises(Exception, match="amount of 1000000000000 or more"):
+        spark.createDataFrame([(1e12,)], "v double").agg(numeric.money_sum("v")).collect()
+
+
 def test_case_refuses_numbers(spark):
     df = spark.createDataFrame([("Ab", 1.5)], "a string, n double")
     assert text.standard_case(df, lower=("a",)).first().a == "ab"

@@ -139,6 +139,29 @@ def test_reconcile_equals_full_join(staff, ships):
     assert bag(joins.reconcile(staff, ships, "id").select(columns)) == want
 
 
+def test_reconcile_with_repeats_and_nulls_on_both_sides(spark):
+    left = spark.createDataFrame([(i % 7 if i % 3 else 5, i) for i in range(60)] + [(None, -1), (99, -2)], "k int, a int")
+    right = spark.createDataFrame([(i % 5, i) for i in range(40)] + [(None, -3), (77, -4)], "k int, b int")
+    assert bag(joins.reconcile(left, right, "k").select("k", "a", "b")) == bag(left.join(right, "k", "full").select("k", "a", "b"))
+
+
+def test_hot_unmatched_keys_of_a_full_join_are_spread(spark):
+    """A third of the left rows on one key without a match: no task holds more than a part of them."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -7).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+        right = spark.range(600).select(F.col("id").alias("k"), F.col("id").alias("b"))
+        out = joins.reconcile(left, right, "k").withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in out.where("k = -7").groupBy("task").count().collect()]
+        assert sum(sizes) == 10_000 and max(sizes) < 4_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_full_is_inner_and_both_sides(staff, ships):
     full = joins.reconcile(staff, ships, "id").count()
     inner = staff.join(ships, "id").count()
