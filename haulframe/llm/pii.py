@@ -14,7 +14,9 @@ import hashlib
 import math
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +26,8 @@ KINDS = ("email", "ip", "card", "phone")
 TRAINING_STRETCHES = 400  # bound of the training sample
 EPOCHS = 6
 MOST_TOKENS = 26  # longest entity, in letter runs, digit runs and other characters
-CONTEXT = 24  # characters around a trigger
+TRAINING_PER_TEXT = 20  # stretches of one text that may be in the training sample
+TRAINING_CHARS = 1000  # longest stretch that may be in it
 
 # Fixed patterns; possessive forms of the given ones, which match the same spans in linear time.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -36,7 +39,41 @@ _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
 _TRIGGER = re.compile(r"[0-9@]|\(at\)|\[at\]|\bdot\b")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\S\n]+|.", re.DOTALL)
-_SPELLED = re.compile(r"^[\w.%+-]+ ?(?:@|\(at\)|\[at\]|at) ?[\w-]+(?: ?(?:\.|\(dot\)|\[dot\]|dot) ?[\w-]+)+$")
+_SIGN = re.compile(r" ?(?:@|\(at\)|\[at\]) ?| at ?|at ")
+_POINT = re.compile(r" ?(?:\.|\(dot\)|\[dot\]) ?")
+_LOCAL_PART = re.compile(r"[\w.%+-]+")
+_LABEL = re.compile(r"[\w-]+")
+_GLUED = re.compile(r"[\w-]dot[\w-]")
+
+
+def spelled_address(span: str) -> bool:
+    """An address with its signs as such, in brackets or as words: a local part, ``at``, and two labels or more.
+
+    Read from left to right, once: bracketed signs first, then the words of what lies between them, of which
+    ``dot`` may stand alone or at the end or beginning of another.
+    """
+    sign = _SIGN.search(span)
+    if not sign or not _LOCAL_PART.fullmatch(span, 0, sign.start()):
+        return False
+    parts = _POINT.split(span[sign.end() :])
+    points = len(parts) - 1
+    for part in parts:
+        words = part.split(" ")
+        if not all(_LABEL.fullmatch(w) for w in words):
+            return False
+        label, i = words[0], 1
+        points += any(_GLUED.search(w) for w in words)
+        while i < len(words):
+            if words[i] == "dot" and i + 1 < len(words):
+                label, i = words[i + 1], i + 2
+            elif words[i].startswith("dot") and len(words[i]) > 3:
+                label, i = words[i][3:], i + 1
+            elif label.endswith("dot") and len(label) > 3:
+                label, i = words[i], i + 1
+            else:
+                return False
+            points += 1
+    return points > 0
 
 
 def luhn(digits: str) -> bool:
@@ -85,14 +122,25 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text around triggers, merged where they meet."""
+    """Parts of the text around triggers: as many tokens on either side as an entity may have, or to the line's end.
+
+    Parts that meet are one. So an entity around a trigger lies whole in one part.
+    """
     out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
+    first = _TRIGGER.search(text)
+    while first:
+        line = text.rfind("\n", 0, first.start()) + 1
+        end = text.find("\n", first.start())
+        end = len(text) if end < 0 else end
+        at = [line, *(m.end() for m in _TOKEN.finditer(text, line, end))]
+        for m in _TRIGGER.finditer(text, first.start(), end):
+            i, j = bisect_right(at, m.start()) - 1, bisect_left(at, m.end())
+            a, b = at[max(0, i - MOST_TOKENS)], at[min(len(at) - 1, j + MOST_TOKENS)]
+            if out and a <= out[-1][1] and line <= out[-1][1]:
+                out[-1][1] = max(b, out[-1][1])
+            else:
+                out.append([a, b])
+        first = _TRIGGER.search(text, end)
     return [(a, b) for a, b in out]
 
 
@@ -101,8 +149,7 @@ def features(kind: int, span: str, left: str, right: str) -> list[str]:
     digits = _NOT_DIGIT.sub("", span)
     out = ["b"]
     if kind == 0:
-        m = _SPELLED.match(span)
-        if not m:
+        if not spelled_address(span):
             return []
         out.append("sign" if "@" in span else "bracketed" if "at)" in span or "at]" in span else "spelled")
         out.append("dot" if re.search(r"\bdot\b", span) else "point")
@@ -137,17 +184,14 @@ def features(kind: int, span: str, left: str, right: str) -> list[str]:
     return out
 
 
-def candidates(text: str) -> tuple[list[int], list[list[tuple[int, int, list[str]]]]]:
-    """Token bounds of a stretch, and per token the entities that could start there: (end token, kind, features)."""
-    tokens = [m.group() for m in _TOKEN.finditer(text)]
-    at = [0]
-    for t in tokens:
-        at.append(at[-1] + len(t))
-    starts: list[list[tuple[int, int, list[str]]]] = [[] for _ in tokens]
+def candidates(text: str, tokens: list[str], at: list[int]) -> Iterator[list[tuple[int, int, list[str]]]]:
+    """Per token of a stretch, the entities that could start there: (end token, kind, features)."""
     for i, first in enumerate(tokens):
+        found_here: list[tuple[int, int, list[str]]] = []
         if not (first[0].isalnum() or first in "+("):
+            yield found_here
             continue
-        letters, digits, sign = 0, 0, False
+        letters, digits = 0, 0
         for j in range(i, min(len(tokens), i + MOST_TOKENS)):
             t = tokens[j]
             if "\n" in t:
@@ -156,9 +200,9 @@ def candidates(text: str) -> tuple[list[int], list[list[tuple[int, int, list[str
                 digits += len(t)
             elif t[0].isalpha():
                 letters += 1
-            elif t in "@([":
-                sign = True
-            if digits > 24 or not t[0].isalnum() or (letters and not sign and digits > 24):
+            if digits > 24:
+                break
+            if not t[0].isalnum():
                 continue
             span = text[at[i] : at[j + 1]]
             left, right = text[at[i] - 1 : at[i]] if at[i] else "", text[at[j + 1] : at[j + 1] + 1]
@@ -172,8 +216,8 @@ def candidates(text: str) -> tuple[list[int], list[list[tuple[int, int, list[str
             for kind in kinds:
                 found = features(kind, span, left, right)
                 if found:
-                    starts[i].append((j + 1, kind, [f"{kind}{f}" for f in found]))
-    return at, starts
+                    found_here.append((j + 1, kind, [f"{kind}{f}" for f in found]))
+        yield found_here
 
 
 def _plain(token: str) -> list[str]:
@@ -181,20 +225,23 @@ def _plain(token: str) -> list[str]:
 
 
 def _scores(text: str, weights: dict[str, float]):
-    at, starts = candidates(text)
+    """Token bounds of a stretch, and per token the scored steps from it."""
+    tokens = _TOKEN.findall(text)
+    at = [0, *accumulate(map(len, tokens))]
     w = weights.get
-    arcs = []
-    for i in range(len(at) - 1):
-        out = [(i + 1, -1, _plain(text[at[i] : at[i + 1]]))]
-        out += starts[i]
-        arcs.append([(j, k, f, sum(w(x, 0.0) for x in f)) for j, k, f in out])
-    return at, arcs
+
+    def steps():
+        for i, starting in enumerate(candidates(text, tokens, at)):
+            out = [(i + 1, -1, _plain(tokens[i])), *starting]
+            yield [(j, k, f, sum(w(x, 0.0) for x in f)) for j, k, f in out]
+
+    return at, steps()
 
 
 def decoded(text: str, weights: dict[str, float]) -> list[tuple[int, int, int]]:
     """The best segmentation of a stretch: (start, kind, end) of its entities."""
     at, arcs = _scores(text, weights)
-    n = len(arcs)
+    n = len(at) - 1
     best = [-math.inf] * (n + 1)
     back: list = [None] * (n + 1)
     best[0] = 0.0
@@ -213,7 +260,8 @@ def decoded(text: str, weights: dict[str, float]) -> list[tuple[int, int, int]]:
 
 def _gradient(text: str, gold: list[tuple[int, int, int]], weights: dict[str, float]) -> dict[str, float]:
     """Features of the gold segmentation less the expected ones."""
-    at, arcs = _scores(text, weights)
+    at, steps = _scores(text, weights)
+    arcs = list(steps)
     n, place = len(arcs), {a: i for i, a in enumerate(at)}
     low = -1e30
 
@@ -269,8 +317,8 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, spans = [], []
         for text in batch.column("text").to_pylist():
             base = base_spans(text or "")
-            for a, b in stretches(text or "")[:20]:
-                if b - a > 400:
+            for a, b in stretches(text or "")[:TRAINING_PER_TEXT]:
+                if b - a > TRAINING_CHARS:
                     continue
                 inside = [(s - a, k, e - a) for s, k, e in base if s >= a and e <= b]
                 texts.append(text[a:b])
@@ -281,7 +329,8 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def trained(docs: DataFrame, most: int = TRAINING_STRETCHES, epochs: int = EPOCHS) -> dict[str, float]:
     """Weights of the field, from at most ``most`` stretches with base spans and as many without.
 
-    The sample is bounded and picked by a hash of the stretch; it does not grow with the corpus.
+    The sample is bounded and picked by a hash of the stretch, of at most TRAINING_PER_TEXT stretches a text
+    and TRAINING_CHARS characters a stretch; it does not grow with the corpus.
     Without any base span the field finds nothing.
     """
     slim = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
@@ -330,9 +379,11 @@ def spans_of(text: str, weights: dict[str, float]) -> tuple[list, list]:
             added.append((a + s, k, a + e))
     if not added:
         return base, base
-    out, ends = list(base), sorted((s, e) for s, _, e in base)
+    out, opening = list(base), [s for s, _, _ in base]
+    reach = list(accumulate((e for _, _, e in base), max))
     for s, k, e in added:
-        if not any(x < e and s < y for x, y in ends):
+        before = bisect_left(opening, e)
+        if not before or reach[before - 1] <= s:
             out.append((s, k, e))
     return base, sorted(out)
 

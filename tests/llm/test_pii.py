@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from haulframe.llm import pii
 
@@ -62,6 +63,39 @@ def test_added_spans_and_odd_rows(spark, documents, sf_dir):
     assert by_id[1].base_sha256 == hashlib.sha256(base.encode()).hexdigest() and by_id[1].n_ip == 1 and by_id[1].n_phone == 0
 
 
+def test_spelled_addresses():
+    for good in ("a@b.c", "john.smith [at] example dot com", "a at b dot c", "a(at)b[dot]c", "a at bdot c", "a at b dotcom", "a at bdotc", "a @ b . c"):
+        assert pii.spelled_address(good), good
+    for bad in ("a@b", "at b dot c", "a at b c", "a at b dot", "a at dot", "johnatb", "a b@c.d", "a@b..c", "a at b  dot c"):
+        assert not pii.spelled_address(bad), bad
+
+
+def test_whole_addresses(spark, sf_dir):
+    weights = pii.trained(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    for address in ("christopher.anderson at mailserver dot com", "anna (at) mail.department.university.example.edu"):
+        text = f"please write to {address} before noon, or come by"
+        assert [text[s:e] for s, _, e in pii.spans_of(text, weights)[1]] == [address]
+
+
+def test_stretches_hold_whole_entities():
+    text = "x " * 200 + "5" + " y" * 200 + "\nno\n" + "a@b\n7"
+    parts = pii.stretches(text)
+    assert [text[a:b] for a, b in parts] == ["x " * 13 + "5" + " y" * 13, "a@b", "7"]
+    assert pii.stretches("") == pii.stretches("none") == []
+
+
+def test_long_texts_take_linear_time():
+    weights = {"O": 0.1, "0b": 0.2, "3b": 0.2}
+    seconds = []
+    for n in (4_000, 16_000):
+        start = time.perf_counter()
+        for unit in ("a@xdotxdotxdotxdotxdot1", "xdot1", "a@b.cc ", "a at bdot ", "1.2.3.4 ", "(at)", "+1 ( "):
+            pii.spans_of(unit * (n // len(unit)), weights)
+        pii.spans_of("a@" + "xdotxdotxdotxdotxdot1" * 40 + "x%b", weights)
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 8 * seconds[0] + 1
+
+
 def test_clean_numbers_are_left_alone(spark, sf_dir):
     weights = pii.trained(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for text in ("version 3.0.1", "the order 4111111111111112 is", "on 2024-05-01 at 12:30:45", 'token = "24be64439e3e49cf46b2d7c90f36"'):
