@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -94,8 +95,13 @@ def measures(text: str, automaton) -> tuple[float, float, int]:
                 excused.append((first, last))
             else:
                 hits.append((first, last, weight))
+        # phrases come by their ends: of those that end at a word's end or later, one must open early enough
+        ends, opening = [b for _, b in excused], [a for a, _ in excused]
+        for i in range(len(opening) - 2, -1, -1):
+            opening[i] = min(opening[i], opening[i + 1])
         for first, last, weight in hits:
-            if not any(a <= first and last <= b for a, b in excused):
+            at = bisect_left(ends, last)
+            if at == len(ends) or opening[at] > first:
                 total += weight
                 count += 1
     if not count:

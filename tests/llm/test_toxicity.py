@@ -91,3 +91,44 @@ def test_held_out_accuracy(spark, sf_dir):
     right = sum(r.predicted == labels[r.doc_id] for r in rows)
     toxic = [r for r in rows if labels[r.doc_id]]
     assert right >= 0.97 * len(rows) and sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
+
+
+def plain_measure(text, model):
+    """Total weight and number of words that stand free and in no exception, every word against every phrase."""
+    text = toxicity.folded(text)
+
+    def places(word):
+        out, at = [], text.find(word)
+        while at >= 0:
+            end = at + len(word)
+            if not (at and text[at - 1].isalnum()) and not (end < len(text) and text[end].isalnum()):
+                out.append((at, end))
+            at = text.find(word, at + 1)
+        return out
+
+    excused = [p for phrase in model.exceptions for p in places(phrase)]
+    hits = [(p, w) for word, w in model.weights.items() for p in places(word) if not any(a <= p[0] and p[1] <= b for a, b in excused)]
+    return sum(w for _, w in hits), len(hits)
+
+
+def test_matches_and_exceptions_against_brute_force():
+
+    import numpy as np
+
+    rng = random.Random(12)
+    model = toxicity.Model({"bad": 1.0, "worse": 2.5, "not": 0.5, "a": 0.25}, ["not bad", "bad a", "a worse not", "not bad at"])
+    automaton = model.automaton()
+    for _ in range(300):
+        text = " ".join(rng.choice(["bad", "worse", "not", "a", "at", "badly", "fine", "bad."]) for _ in range(rng.randrange(30)))
+        total, count = plain_measure(text, model)
+        got = toxicity.measures(text, automaton)
+        assert got[2] == count and (not count or abs(got[0] - float(np.log1p(total))) < 1e-9)
+
+
+def test_many_matches_take_linear_time():
+    import time
+
+    automaton = toxicity.Model({"bad": 1.0}, ["not bad"]).automaton()
+    start = time.perf_counter()
+    assert toxicity.measures("bad not bad " * 90_000, automaton)[2] == 90_000
+    assert time.perf_counter() - start < 10
