@@ -36,12 +36,12 @@ def pieces(item: str, percent: int) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def nearest(masks: dict[str, int], size: int, text: str) -> tuple[int, int]:
-    """Smallest edit distance of the pattern to a part of ``text``, and where the first such part ends."""
+def distances(masks: dict[str, int], size: int, text: str, first: int = 0) -> Iterator[tuple[int, int]]:
+    """(end, edit distance of the pattern to the nearest part of ``text`` from ``first`` that ends there), where it falls."""
     full, high = (1 << size) - 1, 1 << (size - 1)
     plus, minus, score = full, 0, size
-    best, end = size, 0
-    for at, c in enumerate(text, start=1):
+    for at in range(first + 1, len(text) + 1):
+        c = text[at - 1]
         same = masks.get(c, 0)
         vertical = same | minus
         across = (((same & plus) + plus) ^ plus) | same
@@ -51,15 +51,43 @@ def nearest(masks: dict[str, int], size: int, text: str) -> tuple[int, int]:
             score += 1
         elif down & high:
             score -= 1
-            if score < best:
-                best, end = score, at
+            yield at, score
         up <<= 1
         down <<= 1
         plus = (down | ~(vertical | up)) & full
         minus = up & vertical & full
+
+
+def nearest(masks: dict[str, int], size: int, text: str) -> tuple[int, int]:
+    """Smallest edit distance of the pattern to a part of ``text``, and where the first such part ends."""
+    best, end = size, 0
+    for at, score in distances(masks, size, text):
+        if score < best:
+            best, end = score, at
     return best, end
 
 
+def one_by_one(masks: dict[str, int], size: int, text: str, most: int) -> Iterator[tuple[int, int, int]]:
+    """(edits, end, end of the one before) of parts with at most ``most`` edits, from left to right, none in another.
+
+    Of parts that end within one length of the pattern, the nearest is taken, then the search goes on behind it.
+    """
+    before = 0
+    while True:
+        best, end = most + 1, 0
+        for at, score in distances(masks, size, text, before):
+            if end and at > end + size:
+                break
+            if score < best:
+                best, end = score, at
+            if not best:
+                break
+        if not end:
+            return
+        yield best, end, before
+        before = end
+
+
 def masks_of(item: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(item):
@@ -87,7 +115,7 @@ def _automaton(items: list[tuple[int, str]], percent: int):
 
 
 def quotations(text: str, automaton, texts: dict, percent: int) -> Iterator[tuple[int, int, int, int]]:
-    """(item, edits, start, end) of the nearest passage per item and place; positions count in folded text."""
+    """(item, edits, start, end) of the passages near an item, none in another of its; positions count in folded text."""
     if not len(automaton):
         return
     near: dict[int, list[int]] = {}
@@ -106,10 +134,9 @@ def quotations(text: str, automaton, texts: dict, percent: int) -> Iterator[tupl
             if low is not None:
                 left = max(0, low - k)
                 part = text[left : high + len(pattern) + k]
-                edits, end = nearest(masks, len(pattern), part)
-                if edits <= k:
+                for edits, end, before in one_by_one(masks, len(pattern), part, k):
                     # the passage may open up to k characters earlier or later than it would without edits
-                    _, back = nearest(backward, len(pattern), part[max(0, end - len(pattern) - k) : end][::-1])
+                    _, back = nearest(backward, len(pattern), part[max(before, end - len(pattern) - k) : end][::-1])
                     yield item, edits, left + end - back, left + end
             low = high = start
 
@@ -142,7 +169,8 @@ def _search(block, percent: int):
 def quoted(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per passage of ``docs`` (``doc_id``, ``text``) that quotes an item (``item_id``, ``text``).
 
-    Columns: doc_id, item_id, edits, start, end (characters of the folded text). Null, empty and
+    Columns: doc_id, item_id, edits, start, end (characters of the folded text). Quotations of one item that
+    follow one another are rows of their own. An item counts inside longer words too. Null, empty and
     wordless texts and items match nothing. Repeated rows on either side are rows of their own; a null
     doc_id or item_id is carried along. Other columns are not read. The documents are scanned once per
     block of items; a block is what the driver and the tasks hold, whatever the size of the benchmark.

@@ -97,3 +97,28 @@ def test_whole_tables_hold_every_exact_quotation(spark, sf_dir):
     want = {(d.doc_id, b.item_id) for d in docs for b in bench if d.text and folded(b.text) in folded(d.text)}
     got = {(r.doc_id, r.item_id): r for r in QUERIES["op6_decontaminate"](spark, sf_dir).collect()}
     assert want <= set(got) and {k for k, r in got.items() if r.edits == 0} == want
+
+
+def test_adjacent_quotations_are_rows_of_their_own(documents, items):
+    found = decontaminate.quoted(documents([(1, "ab " * 400), (2, "x " * 50 + "ab " * 85)]), items([(7, "ab " * 40)])).collect()
+    by_doc = {i: sorted((r.start, r.end, r.edits) for r in found if r.doc_id == i) for i in (1, 2)}
+    assert len(by_doc[1]) == 10 and all(r[2] <= 1 for r in by_doc[1])
+    assert all(a[1] <= b[0] for rows in by_doc.values() for a, b in zip(rows, rows[1:], strict=False))
+    assert [(r[0] // 100, r[2]) for r in by_doc[2]] == [(1, 0), (2, 0)]
+
+
+def test_recall_of_edited_quotations(documents, items):
+    """Every quotation within the budget is found, whatever its edits."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    bench = [(i, " ".join(rng.choice(words) for _ in range(30))) for i in range(20)]
+    rows, want = [], set()
+    for n in range(200):
+        i, item = rng.choice(bench)
+        edits = len(item) * (1 + n % 8) // 100
+        inner = edited(item, edits, rng)
+        rows.append((n, " ".join([rng.choice(words) for _ in range(20)] + [inner] + [rng.choice(words) for _ in range(20)])))
+        want.add((n, i))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.quoted(documents(rows), items(bench)).collect()}
+    missed = {(n, i) for n, i in want - got if distance(folded(bench[i][1]), folded(rows[n][1])) <= len(folded(bench[i][1])) * 8 // 100}
+    assert not missed and len(want & got) >= 190
