@@ -1,13 +1,12 @@
 """URL filter: a tree of path templates per host, judged by the labelled pages below each template.
 
 Every url that a rule fits is labelled by it. Level by level, a path segment stays literal only where
-it is common among its siblings and its labelled share differs from theirs; all other siblings are
+it has MIN_ROWS rows or more and its labelled share differs from that of its siblings; all other siblings are
 variable or alike and are merged under a wildcard. A template's blocked share is smoothed towards its
 parent's, up to the host and a root rate, and the template is rejected at THRESHOLD.
 
-DataFrame operations only. Rows meet the tree through tables of kept segments, which hold at most
-SUPPORT_SHARE segments per node; those joins are salted, so a host with a large share of all rows is
-spread over tasks.
+DataFrame operations only. Rows meet the tree through tables of kept segments, one for MIN_ROWS rows at
+most; those joins are salted, so a host with a large share of all rows is spread over tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from haulframe.llm.landed import landed
 
 DEPTH = 3  # levels of the tree; what lies deeper is one tail, **
 MIN_ROWS = 5  # rows that a literal segment has at least
-SUPPORT_SHARE = 50  # and at least one in so many of its siblings' rows
 DIFFERENT = 3.84  # squared z of two shares, 5 % level
 STRENGTH = 4.0  # labelled rows that the parent's share counts for
 ROOT_RATE = 0.25
@@ -81,7 +79,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     scores = None
     for level in range(DEPTH + 1):
-        nodes = rows.groupBy("template").agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"), F.count("*").alias("all"))
+        nodes = rows.groupBy("template").agg(F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
         if level == 0:
             parent = nodes.withColumn("above", F.lit(ROOT_RATE))
         else:
@@ -105,7 +103,6 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
             .agg(F.sum("n").alias("cn"), F.sum("b").alias("cb"), F.count("*").alias("c"))
             .where(F.col("c") >= MIN_ROWS)
             .join(nodes, "template")
-            .where(F.col("c") * SUPPORT_SHARE >= F.col("all"))
             .where(_different(F.col("cb"), F.col("cn"), F.col("all_b"), F.col("all_n")))
             .select("template", "segment")
         )
@@ -145,7 +142,7 @@ rows0 AS (
     for level in range(DEPTH + 1):
         above = f"{ROOT_RATE}::DOUBLE" if level == 0 else f"(SELECT max(s.score) FROM scores{level - 1} s WHERE s.template = o.parent)"
         sql += f""",
-nodes{level} AS (SELECT template, any_value(parent) AS parent, sum(n) AS all_n, sum(b) AS all_b, count(*) AS rows_all
+nodes{level} AS (SELECT template, any_value(parent) AS parent, sum(n) AS all_n, sum(b) AS all_b
   FROM rows{level} GROUP BY template),
 scores{level} AS (SELECT template, (all_b::DOUBLE + {STRENGTH}::DOUBLE * {above}) / (all_n::DOUBLE + {STRENGTH}::DOUBLE) AS score
   FROM nodes{level} o)"""
@@ -156,7 +153,7 @@ scores{level} AS (SELECT template, (all_b::DOUBLE + {STRENGTH}::DOUBLE * {above}
 children{level} AS (SELECT template, parts[{level + 1}] AS segment, sum(n)::DOUBLE AS cn, sum(b)::DOUBLE AS cb, count(*) AS c
   FROM rows{level} WHERE len(parts) > {level} GROUP BY ALL HAVING count(*) >= {MIN_ROWS}),
 kept{level} AS (SELECT c.template, c.segment FROM children{level} c JOIN nodes{level} o USING (template)
-  WHERE c.c * {SUPPORT_SHARE} >= rows_all AND cn * (all_n::DOUBLE - cn) * all_b::DOUBLE * (all_n::DOUBLE - all_b::DOUBLE) > 0
+  WHERE cn * (all_n::DOUBLE - cn) * all_b::DOUBLE * (all_n::DOUBLE - all_b::DOUBLE) > 0
     AND pow(cb * (all_n::DOUBLE - cn) - (all_b::DOUBLE - cb) * cn, 2) * all_n::DOUBLE
         >= {DIFFERENT}::DOUBLE * (cn * (all_n::DOUBLE - cn) * all_b::DOUBLE * (all_n::DOUBLE - all_b::DOUBLE))),
 rows{level + 1} AS (SELECT page_id, host, path, rule, parts, n, b, r.template AS parent,

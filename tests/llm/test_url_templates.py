@@ -64,3 +64,12 @@ def test_odd_tables(spark, judged):
     assert url_templates.judged(df.selectExpr("*", "'x' AS template", "1 AS salt", "2 AS n"), URL_RULES).count() == 3
     deep = "http://h.net/" + "/".join("abcdefghij" * 300)
     assert judged([deep])[0].template.endswith("/**")
+
+
+@pytest.mark.parametrize("blocked", [20, 99, 100])
+def test_a_small_branch_stays_apart_whatever_its_share(judged, blocked):
+    """Pages of a branch that differs never change the verdicts of its large siblings."""
+    urls = [f"http://shop.com/en/{i}" for i in range(4750)] + [f"http://shop.com/fr/{i}" for i in range(150)]
+    rows = judged(urls + [f"http://shop.com/de/{i}" for i in range(blocked)])
+    assert {r.verdict for r in rows.values() if r.path.startswith("/en/")} == {"allow"}
+    assert {r.verdict for r in rows.values() if r.path.startswith("/de/")} == {"block"}
