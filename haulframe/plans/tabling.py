@@ -54,15 +54,16 @@ def tbl_insert_overwrite(spark, sf_dir):
 def tbl_show_create(spark, sf_dir):
     name = f"{tables.scratch_schema(spark)}.clients"
     tables.save_table(clients(spark, sf_dir), name)
-    counted = spark.table(name).agg(F.count("*").alias("table_rows"))
     ddl = tables.table_ddl(spark, name)
     lines = ddl.select(F.explode(F.split("createtab_stmt", "\n")).alias("line"))
     column = r"^  (\w+) ([A-Z]+)"
     columns = lines.where(F.col("line").rlike(column)).select(
         F.regexp_extract("line", column, 1).alias("column_name"), F.regexp_extract("line", column, 2).alias("data_type")
     )
-    named = columns.agg(F.collect_list(F.struct("column_name", "data_type")).alias("columns")).withColumn("one", F.lit(1))
-    return named.join(counted.withColumn("one", F.lit(1)), "one").select(F.inline("columns"), "table_rows")
+    # one line per column of the table
+    named = [F.struct(F.lit(r[0]).alias("column_name"), F.lit(r[1]).alias("data_type")) for r in columns.collect()]
+    counted = spark.table(name).agg(F.count("*").alias("table_rows"))
+    return counted.select(F.inline(F.array(*named)), "table_rows")
 
 
 @query("tbl_drop", "SELECT count(*) AS source_rows, true AS gone FROM customer")
