@@ -51,7 +51,7 @@ def test_last_stage_encodes_the_mixture(stages):
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     got = {tuple(r) for r in corpus_pipeline.run(spark, sf_dir).collect()}
     assert got == {tuple(r) for r in stages[-1].collect()}
-    assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in ORACLES and len(QUERIES) == 10
+    assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in ORACLES and len(QUERIES) == 13
 
 
 def test_entry_without_the_corpus_operators(spark, tmp_path):
