@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulframe.llm.landed import landed
@@ -126,18 +126,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, seed: int
         ),
         "classes",
     )
-    keyed = (
-        classes.select("node", F.posexplode("left_keys").alias("i", "x"), "right_keys")
-        .select("node", "i", "x", F.posexplode("right_keys").alias("j", "y"))
-        .select("node", F.xxhash64(F.col("i") * HALVES + F.col("j"), "x", "y").alias("bucket"))
-    )
-    buckets = landed(
-        keyed.withColumn("pivot", F.min("node").over(Window.partitionBy("bucket")))
-        .withColumn("top", F.max("node").over(Window.partitionBy("bucket")))
-        .where("pivot < top")
-        .select("bucket", "node", "pivot"),
-        "buckets",
-    )
+    buckets = landed(_buckets(classes), "buckets")
     texts = slim.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
 
     first = buckets.groupBy("node").agg(F.min("pivot").alias("a")).where("a < node").select("a", F.col("node").alias("b"))
@@ -179,6 +168,36 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, seed: int
     )
 
 
+def _buckets(classes: DataFrame) -> DataFrame:
+    """``bucket``, ``node`` and ``pivot`` (the smallest node of the bucket) of all buckets with two nodes or more.
+
+    A half key that no other class has can be in no such bucket, so table keys are made from shared half
+    keys only. Both counts are aggregates, combined before their shuffle, and are written; the rows then
+    meet them in joins that adaptive execution splits, so a half key or bucket held by a third of all
+    classes is never one task.
+    """
+    one = ["node", "n_shingles", "digest"]  # rows of one doc_id may be several classes
+    halves = classes.select(*one, F.posexplode(F.concat("left_keys", "right_keys")).alias("half", "x"))
+    shared = halves.groupBy("half", "x").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = landed(shared.where("low < high").select("half", "x"), "shared-halves")
+    half = F.struct("half", "x")
+    live = (
+        halves.join(shared, ["half", "x"])
+        .groupBy(*one)
+        .agg(  # HALVES entries in either list at most
+            F.collect_list(F.when(F.col("half") < HALVES, half)).alias("lefts"),
+            F.collect_list(F.when(F.col("half") >= HALVES, half)).alias("rights"),
+        )
+        .where("size(lefts) > 0 AND size(rights) > 0")
+    )
+    live = landed(live, "live-halves")
+    keyed = live.select("node", "rights", F.explode("lefts").alias("l")).select("node", "l", F.explode("rights").alias("r"))
+    keyed = keyed.select("node", F.xxhash64("l.half", "l.x", "r.half", "r.x").alias("bucket"))
+    ends = keyed.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
+    ends = landed(ends.where("pivot < top").select("bucket", "pivot"), "pivots")
+    return keyed.join(ends, "bucket").select("bucket", "node", "pivot")
+
+
 def _short_sets(size: int):
     """Per document, its set with 32 bits per shingle."""
 

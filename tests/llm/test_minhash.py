@@ -67,6 +67,25 @@ def test_repeated_and_null_ids(documents):
     assert rows_of(minhash.near_duplicates(documents(rows))) == by_brute_force(rows)
 
 
+def test_buckets_are_those_of_all_pairs_of_half_keys(spark):
+    """Few distinct half keys, one of them held by a third of the classes; two classes share a doc_id."""
+    rng = random.Random(7)
+    rows = [
+        (min(k, 58), k, bytes([k]), *([0 if k % 3 == 0 else rng.randrange(90) for _ in range(minhash.HALVES)] for _ in "lr"))
+        for k in range(60)
+    ]
+    held = {}
+    for node, _, _, left, right in rows:
+        for i, x in enumerate(left):
+            for j, y in enumerate(right):
+                held.setdefault((i, x, j, y), []).append(node)
+    want = sorted((min(v), node) for v in held.values() if min(v) < max(v) for node in v)
+    schema = "node bigint, n_shingles bigint, digest binary, left_keys array<bigint>, right_keys array<bigint>"
+    got = minhash._buckets(spark.createDataFrame(rows, schema))
+    assert sorted((r.pivot, r.node) for r in got.collect()) == want and len(want) > 400
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_table(documents):
     assert minhash.near_duplicates(documents([])).count() == 0
 
