@@ -8,10 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from haulframe.llm import decontaminate, minhash, mixing, token_files, toxicity
-from haulframe.llm.landed import columns_of, landed
+from haulframe.llm.landed import landed
 from haulframe.llm.registry import table
 
 
@@ -22,9 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id; five-word shingles."""
-    kept = minhash.near_duplicates(docs, size=5).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(columns_of(docs))
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    return minhash.one_of_each(docs, size=5)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulframe.llm.landed import columns_of
+from haulframe.llm.landed import columns_of, numbered
 
 PERCENT = 8
 BLOCK_CHARS = 4_000_000  # test items are taken in blocks of about so many characters, one scan each
@@ -192,6 +192,10 @@ def quoted(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFra
 
 
 def clean(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose doc_id quotes no item; rows with a null doc_id stay."""
+    """The rows of ``docs`` whose doc_id quotes no item, and those without doc_id whose own text quotes none."""
     hit = quoted(docs, items, percent).select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(columns_of(docs))
+    named = docs.where("doc_id IS NOT NULL").join(hit, "doc_id", "left_anti").select(columns_of(docs))
+    nameless, row = numbered(docs.where("doc_id IS NULL"))
+    hit = quoted(nameless.select(F.col(row).alias("doc_id"), "text"), items, percent)
+    hit = hit.select(F.col("doc_id").alias(row)).distinct()
+    return named.unionByName(nameless.join(hit, row, "left_anti").select(columns_of(docs)))

@@ -19,3 +19,14 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, first: int = 0) -> tuple[DataFrame, str]:
+    """The rows with a number of their own from ``first`` on, written so that it stays, and its column's name.
+
+    The name is one that the rows do not have yet. Numbers grow but leave gaps.
+    """
+    name = "_row"
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return landed(df.withColumn(name, F.monotonically_increasing_id() + F.lit(first)), "numbered"), name

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulframe.llm.landed import landed
+from haulframe.llm.landed import columns_of, landed, numbered
 from haulframe.llm.links import components
 from haulframe.llm.words import distinct_shingles, mixed
 
@@ -168,6 +168,27 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, seed: int
     )
 
 
+def one_of_each(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group of rows, the one with the smallest doc_id.
+
+    Rows without doc_id, or with one that other rows have too, take part under numbers above all
+    doc_ids, so each is judged by its own text and at most one row of a group stays. Texts without
+    words are no copies of one another and stay. Columns come back as they are.
+    """
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = landed(repeated.select("doc_id"), "repeated-ids")
+    highest = docs.agg(F.max(F.col("doc_id").cast("bigint"))).first()[0]
+    own = docs.where("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti").select(columns_of(docs))
+    others = docs.join(repeated, "doc_id", "left_semi").select(columns_of(docs))
+    others, row = numbered(docs.where("doc_id IS NULL").unionByName(others), 0 if highest is None else highest + 1)
+    nodes = own.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    nodes = nodes.unionByName(others.select(F.col(row).alias("doc_id"), "text"))
+    kept = near_duplicates(nodes, size=size, percent=percent).where("kept").select("doc_id")
+    kept = landed(kept, "kept")
+    rest = others.join(kept.withColumnRenamed("doc_id", row), row, "left_semi").select(columns_of(docs))
+    return own.join(kept, "doc_id", "left_semi").select(columns_of(docs)).unionByName(rest)
+
+
 def _buckets(classes: DataFrame) -> DataFrame:
     """``bucket``, ``node`` and ``pivot`` (the smallest node of the bucket) of all buckets with two nodes or more.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulframe.llm.landed import columns_of, landed
+from haulframe.llm.landed import landed
 from haulframe.llm.words import distinct_shingles, slices
 
 SAMPLE_ROWS = 20_000  # labelled rows that the model is fitted on, about; all of them if there are fewer
@@ -158,14 +158,29 @@ def _phrases(weights: dict[str, float]):
     return run
 
 
+def _points(batch: pa.RecordBatch, automaton, coefficients: tuple[float, float, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Measures and score of each text."""
+    b0, b1, b2 = coefficients
+    x = np.array([measures(t.as_py() or "", automaton) for t in batch.column("text")], float).reshape(-1, 3)
+    return x, 1.0 / (1.0 + np.exp(-(b0 + b1 * x[:, 0] + b2 * x[:, 1])))
+
+
+def _acceptable(model: Model):
+    """The rows, all columns as they are, whose text is not scored toxic."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = model.automaton()
+        for batch in slices(batches):
+            yield batch.filter(pa.array(_points(batch, automaton, model.coefficients)[1] < CUT))
+
+    return run
+
+
 def _measured(model: Model, columns: list[tuple[str, pa.DataType]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.automaton()
-        b0, b1, b2 = model.coefficients
         for batch in slices(batches):
-            found = [measures(t.as_py() or "", automaton) for t in batch.column("text")]
-            x = np.array(found, float).reshape(-1, 3)
-            score = 1.0 / (1.0 + np.exp(-(b0 + b1 * x[:, 0] + b2 * x[:, 1])))
+            x, score = _points(batch, automaton, model.coefficients)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n, _ in columns], pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(score), pa.array(x[:, 2].astype(np.int64))],
                 [*[n for n, _ in columns], "x1", "x2", "score", "matches"],
@@ -276,7 +291,11 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def acceptable(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no toxic text; rows with a null doc_id stay."""
-    model = fitted(docs, labels)
-    toxic = scored(docs, model).where("predicted = 1").select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.join(toxic, "doc_id", "left_anti").select(columns_of(docs))
+    """The rows of ``docs`` whose text is not scored toxic.
+
+    Each row is judged by its own text in one map, so null and repeated doc_ids are judged like others and
+    no text is moved. Columns come back as they are.
+    """
+    # a map looks its columns up by name, which names with dots would break
+    plain = docs.toDF(*[name if name == "text" else f"c{at}" for at, name in enumerate(docs.columns)])
+    return plain.mapInArrow(_acceptable(fitted(docs, labels)), plain.schema).toDF(*docs.columns)

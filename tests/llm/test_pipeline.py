@@ -40,6 +40,30 @@ def test_decisions_take_effect(spark, sf_dir, stages):
     assert lost == {r.doc_id for r in groups if not r.kept}
 
 
+def test_rows_without_id_and_with_repeated_ids_are_judged(spark, sf_dir, stages):
+    """A copied and a leaked row go whether or not they have an id of their own; clean ones stay."""
+    from haulframe.llm import minhash
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 40").orderBy("item_id").first().text
+    clean = [" ".join(f"{w}{k}" for k in range(40)) for w in ("p", "q", "r")]
+    rows = [(None, "so " + item + " so"), (None, clean[0]), (None, clean[0]), (7, clean[1]), (7, clean[1]), (7, clean[2]), (3, clean[0])]
+    more = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for name in docs.columns:
+        if name not in more.columns:
+            more = more.selectExpr("*", f"CAST(NULL AS {dict(docs.dtypes)[name]}) AS `{name}`")
+    more = more.select(docs.columns).withColumn("_row", more.doc_id)
+
+    def left(df):
+        return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+    one = minhash.one_of_each(more, size=5)
+    assert left(one) == sorted([(3, clean[0]), (7, clean[1]), (7, clean[2]), (None, rows[0][1])], key=str)
+    assert one.columns == more.columns
+    unquoted = decontaminate.clean(more, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    assert left(unquoted.where("doc_id IS NULL AND text LIKE 'so %'")) == [] and (None, clean[0]) in left(unquoted)
+
+
 def test_last_stage_encodes_the_mixture(stages):
     mixture, encoded = stages[4], stages[5]
     assert encoded.count() == mixture.count()

@@ -74,6 +74,18 @@ def test_held_out_rows_and_odd_tables(spark, model):
     assert toxicity.scored(df.where("doc_id < 0"), model).count() == 0
 
 
+def test_toxic_rows_go_whatever_their_id(spark):
+    """Rows without id, and rows that share one, are judged by their own text; columns come back as they are."""
+    rows = [(k, sentence(60, "dirtclod", "slimeball") if k % 6 == 0 else sentence(60)) for k in range(600)]
+    labels = spark.createDataFrame([(k, int(k % 6 == 0)) for k in range(600)], "doc_id bigint, toxic int")
+    odd = [(None, rows[6][1]), (None, rows[7][1]), (7, rows[12][1]), (8, rows[8][1]), (None, None)]
+    docs = spark.createDataFrame(rows + odd, "doc_id bigint, text string").selectExpr("*", "1 AS score", "'x' AS `a.b`")
+    kept = toxicity.acceptable(docs, labels)
+    want = [r for r in rows if r[0] % 6] + [odd[1], odd[3], odd[4]]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert kept.dtypes == docs.dtypes
+
+
 def test_copies_do_not_make_lexicon_words(spark):
     passage = sentence(40)
     rows = [(k, sentence(20) + " " + passage) for k in range(200)] + [(200 + k, sentence(60)) for k in range(600)]
