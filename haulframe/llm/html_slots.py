@@ -1,14 +1,23 @@
 """Main text of web pages by template deduction.
 
-A page is a sequence of elements and text blocks; an element's role is its chain of containers with
-their classes. Over the pages of a host, roles with the same occurrence vector (how often on which
-page) form an equivalence class. Classes that occur on most pages, each role the same number of times,
-are the host's template, and what lies in a template role is its slot. The slot with the most text,
-leaving out furniture (menus, adverts, comments, ...), is the host's main slot; a page's text is what it
-has there. Text blocks are tokens too, by role and hash: those that fall into a template class of
-CLASS_TOKENS tokens or more are template text and left out of the slot, except in article and main
-elements, whose text is asked for as it is. A page without that slot, or of a host without a template,
-is judged by its own roles alone.
+A page is a sequence of tokens: containers, known by their role (the chain of containers around them with their
+classes), and whole texts of containers, known by role and content. Over the pages of a host, tokens with the same
+occurrence vector (how often on which page) form an equivalence class; classes on most pages are the host's template.
+A class is used on a page only if it is ordered there, that is its tokens come in the order of the host's pages, once
+or again and again. Classes nest: what lies between the tokens of one is a slot, and may hold others.
+
+The slot with the most text, leaving out furniture (menus, adverts, comments, ...), is the host's main slot; a page's
+text is what it has there, without
+
+* containers whose whole text is a token of a template class. A sentence that many pages have in common stays where
+  its container has other text too;
+* records: a class nested in the slot that repeats on a page and has a fixed text in each turn, such as the "Reply"
+  of reader comments, if no other text of the slot follows its records.
+
+Article and main elements are slots of which nothing but furniture is left out, as their text is asked for as it is. A
+page without the host's slot, or of a host without a template, is judged by its own roles alone. Texts that differ from
+page to page can only be known as adverts or notices by the names that elements bear; a name counts if furniture is all
+that it says (``ad-box``, not ``share-analysis``), and never on an article or main element.
 
 Occurrence vectors are never built: a class is known by the sum of a hash of (page, count), which
 Spark adds up in parts, so a host with any share of the pages is not gathered in one place.
@@ -20,6 +29,7 @@ import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,8 +41,6 @@ from haulframe.llm.url_templates import host_of
 SALTS = 16
 TEMPLATE_SHARE = 0.5  # of the host's pages that have a template role
 ARTICLE_WEIGHT = 10  # an article or main element counts for so many plain ones
-CLASS_TOKENS = 2  # roles and text blocks of a class that is taken for template text
-MOST_ROLES = 40  # containers of a role that are told apart, counted from the outside
 
 # Element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,7 +51,7 @@ BLOCK = frozenset(
     " tfoot th thead title tr ul".split()
 )
 CONTAINER = frozenset("html body div article section main nav header footer aside form table ul ol dl td".split())
-FURNITURE = frozenset("head nav header footer aside form menu dialog button label fieldset".split())
+FURNITURE = frozenset("head nav header footer aside menu dialog button label fieldset select option".split())
 CLOSES_P = BLOCK - {"br", "html", "body", "head", "option"}
 #: Words of a class, id or role that mark furniture.
 FURNITURE_WORDS = frozenset(
@@ -52,12 +60,19 @@ FURNITURE_WORDS = frozenset(
     " overlay newsletter subscribe signup login search comment comments disqus respond reply replies discussion related"
     " recommended share sharing social widget toolbar pagination pager complementary contentinfo skip".split()
 )
-PAGE = "page"  # stands for the page itself among roles, which are empty or begin with a slash
-TEXT = "text "  # begins the token of a text block
+#: Words that say nothing against furniture beside them.
+NEUTRAL_WORDS = frozenset(
+    "area article bar block blog body bottom box btn button buttons col column container content feed field first fixed form global"
+    " group icons inner item items last left link links list main module outer page panel post primary right row secondary section"
+    " site sticky tab text title top unit user view wrap wrapper zone".split()
+)
+PAGE = "page"  # stands for the page itself among tokens
+TEXT = "text "  # begins the token of a container's whole text
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _CLOSING = {name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE) for name in RAW}
 _WORDS = re.compile(r"[a-z]+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 def marked_up(page: str) -> Iterator[tuple[str, str, str]]:
@@ -102,18 +117,112 @@ def marked_up(page: str) -> Iterator[tuple[str, str, str]]:
             at = lt + 1
 
 
-def _attributes(text: str) -> dict[str, str]:
-    return {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(text)} if "=" in text else {}
+def _attributes(text: str) -> list[str]:
+    """The names in class, id and role, such as ``post-list``."""
+    if "=" not in text:
+        return []
+    return [name for _, a, b, c in _ATTRIBUTE.findall(text) for name in _HUMP.sub("-", a or b or c).lower().split()]
+
+
+def _says_furniture(names: list[str]) -> bool:
+    """Whether a name says that its element is furniture, and nothing else."""
+    for name in names:
+        words = set(_WORDS.findall(name))
+        if words & FURNITURE_WORDS and words <= FURNITURE_WORDS | NEUTRAL_WORDS:
+            return True
+    return False
+
+
+def _digest(*parts: str) -> str:
+    return hashlib.blake2b("\n".join(parts).encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
+@dataclass
+class Page:
+    """The containers of a page, each after the one around it, the page itself first; its text blocks without furniture."""
+
+    parents: list[int] = field(default_factory=lambda: [0])
+    roles: list[str] = field(default_factory=lambda: [""])
+    outer: list[int] = field(default_factory=lambda: [-1])  # outermost article or main element around, or -1
+    blocks: list[tuple[int, str]] = field(default_factory=list)  # container, text with single spaces
 
+    def place(self, node: int) -> int:
+        """The container whose slot a block is in: the outermost article around it, else its own."""
+        return self.outer[node] if self.outer[node] >= 0 else node
 
-def blocks(page: str) -> list[tuple[str, bool, str]]:
-    """Text blocks in page order: (role, furniture or not, text with single spaces).
+    def inside(self, slot: str) -> list[bool]:
+        """For each container, whether it lies in one with the role ``slot``."""
+        out: list[bool] = []
+        for node, role in enumerate(self.roles):
+            out.append(role == slot or node > 0 and out[self.parents[node]])
+        return out
+
+    def whole_texts(self) -> dict[int, str]:
+        """Tokens of the texts of containers outside of articles: a digest of the digests of what they hold."""
+        held: list[list[str]] = [[] for _ in self.roles]
+        articles = [False] * len(self.roles)
+        own: list[list[tuple[int, str]]] = [[] for _ in self.roles]
+        for node, text in self.blocks:
+            if self.outer[node] >= 0:
+                articles[self.outer[node]] = True
+            else:
+                own[node].append((0, text))
+        out: dict[int, str] = {}
+        for node in range(len(self.roles) - 1, 0, -1):
+            parent = self.parents[node]
+            if articles[node]:
+                articles[parent] = True
+            elif held[node] or own[node]:
+                digest = _digest(self.roles[node], *(t for _, t in own[node]), "", *reversed(held[node]))
+                out[node] = TEXT + digest
+                held[parent].append(digest)
+        return out
+
+
+class _Open:
+    """Open elements, with the places of those of each name, so that an end tag need not look for its start."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int, bool, int]] = []  # name, container, furniture, outermost form or -1
+        self.places: dict[str, list[int]] = {}
+        self.containers: list[int] = []
+
+    def push(self, name: str, node: int, furniture: bool, form: int) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in CONTAINER:
+            self.containers.append(len(self.stack))
+        self.stack.append((name, node, furniture, form))
+
+    def pop(self) -> None:
+        name = self.stack.pop()[0]
+        self.places[name].pop()
+        if name in CONTAINER:
+            self.containers.pop()
+
+    def top(self) -> tuple[str, int, bool, int]:
+        return self.stack[-1] if self.stack else ("", 0, False, -1)
+
+    def close(self, name: str) -> None:
+        """End the last open element of this name and all inside; a paragraph is not looked for outside its container."""
+        places = self.places.get(name)
+        if places and not (name == "p" and self.containers and self.containers[-1] > places[-1]):
+            at = places[-1]
+            while len(self.stack) > at:
+                self.pop()
+
+
+def parsed(page: str) -> Page:
+    """Containers and text blocks in page order.
 
     Missing end tags are made up as browsers do: a block ends an open paragraph, an item the item
     before, an end tag everything inside. An article or main element ends menus and headers left open.
+    A form is furniture unless it is wrapped around an article, or around most text of a page that has none.
     """
-    out: list[tuple[str, bool, str]] = []
-    stack: list[tuple[str, str, bool]] = []  # name, role, furniture
+    out = Page()
+    found: list[tuple[int, bool, int, str]] = []
+    opened = _Open()
+    forms, holding, article_outside = 0, set(), False
+    in_article = [False]  # of each container, whether an article element is around it
     parts: list[str] = []
 
     def flush() -> None:
@@ -121,16 +230,8 @@ def blocks(page: str) -> list[tuple[str, bool, str]]:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                role, furniture = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-                out.append((role, furniture, text))
-
-    def close(name: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == name:
-                del stack[i:]
-                return
-            if name == "p" and stack[i][0] in CONTAINER:
-                return
+                _, node, furniture, form = opened.top()
+                found.append((node, furniture, form, text))
 
     for kind, name, value in marked_up(page):
         if kind == "text":
@@ -139,147 +240,203 @@ def blocks(page: str) -> list[tuple[str, bool, str]]:
         if name in BLOCK or name in RAW:
             flush()
         if kind == "close":
-            if name == "p" or name not in VOID:
-                close(name)
+            if name not in VOID:
+                opened.close(name)
             continue
         if name in CLOSES_P:
-            close("p")
-        if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == name:
-            stack.pop()
+            opened.close("p")
+        if name in ("li", "tr", "td", "th", "dt", "dd", "option") and opened.top()[0] == name:
+            opened.pop()
         if name in ("article", "main"):
-            while stack and stack[-1][0] in ("nav", "header", "footer", "ul", "ol", "li", "a", "h1", "h2", "menu", "head"):
-                stack.pop()
+            while opened.top()[0] in ("nav", "header", "footer", "ul", "ol", "li", "a", "h1", "h2", "menu", "head"):
+                opened.pop()
         if name == "body":
-            close("head")
+            opened.close("head")
         if name in VOID or value.endswith("/") and name not in BLOCK:
             continue
-        role, furniture = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-        if name in CONTAINER:
-            found = _attributes(value)
-            words = _WORDS.findall(" ".join(found.values()))
-            if role.count("/") < MOST_ROLES:
-                role = f"{role}/{name}" + "".join("." + w for w in sorted(set(words)))
-            furniture = furniture or not FURNITURE_WORDS.isdisjoint(words)
-        elif name not in ("a", "b", "i", "em", "strong", "span", "p") and "=" in value:
-            furniture = furniture or not FURNITURE_WORDS.isdisjoint(_WORDS.findall(" ".join(_attributes(value).values())))
-        if name in FURNITURE and not (name == "header" and "/article" in role.removesuffix("/header")):
-            furniture = True
-        if name in RAW:
+        _, node, furniture, form = opened.top()
+        if name == "form" and form < 0:
+            form, forms = forms, forms + 1
+        names = _attributes(value) if name not in ("a", "b", "i", "em", "strong", "span", "p") else []
+        if name in ("article", "main"):
+            if form >= 0 and not furniture:
+                holding.add(form)
+            article_outside = article_outside or form < 0 and not furniture
+        elif name not in ("html", "body"):
+            furniture = furniture or _says_furniture(names)
+        if name in RAW or name in FURNITURE and not (name == "header" and in_article[node]):
             furniture = True
-        stack.append((name, role, furniture))
+        if name in CONTAINER:
+            words = sorted(set(_WORDS.findall(" ".join(names))))
+            out.parents.append(node)
+            out.roles.append(_digest(out.roles[node], name, *words))
+            here = len(out.roles) - 1
+            out.outer.append(out.outer[node] if out.outer[node] >= 0 else here if name in ("article", "main") else -1)
+            in_article.append(in_article[node] or name == "article")
+            node = here
+        opened.push(name, node, furniture, form)
     flush()
+    mass: dict[int, int] = {}
+    for _, furniture, form, text in found:
+        if not furniture:
+            mass[form] = mass.get(form, 0) + len(text)
+    if not article_outside and not holding:
+        holding = {form for form in mass if 2 * mass[form] > sum(mass.values())}
+    out.blocks = [(node, text) for node, furniture, form, text in found if not furniture and (form < 0 or form in holding)]
     return out
 
 
-def _weight(role: str) -> int:
-    names = {x.split(".")[0] for x in role.split("/")}
-    return ARTICLE_WEIGHT if names & {"article", "main"} else 1
+def _weight(page: Page, node: int) -> int:
+    return ARTICLE_WEIGHT if page.outer[node] >= 0 else 1
 
 
-def _main_role(found: list[tuple[str, bool, str]]) -> str | None:
+def _main_role(page: Page) -> str | None:
     """The role of a single page with the most text in it, deeper ones counting as their own."""
     mass: dict[str, int] = {}
-    for role, furniture, text in found:
-        if not furniture:
-            role = _container(role)
-            mass[role] = mass.get(role, 0) + len(text) * _weight(role)
+    for node, text in page.blocks:
+        role = page.roles[page.place(node)]
+        mass[role] = mass.get(role, 0) + len(text) * _weight(page, node)
     return min(mass, key=lambda r: (-mass[r], r)) if mass else None
 
 
-def _container(role: str) -> str:
-    """The outermost article or main element of a role; the role itself if it has none."""
-    steps = role.split("/")
-    for i, step in enumerate(steps):
-        if step.split(".")[0] in ("article", "main"):
-            return "/".join(steps[: i + 1])
-    return role
-
+def _tokens(page: Page) -> list[tuple[str, int, int]]:
+    """(token, place, weighted characters) of the containers around text, outside of articles, and of their whole texts.
 
-def _text_token(role: str, block: str) -> str:
-    """Stands for a text block among roles."""
-    return TEXT + hashlib.blake2b(f"{role}\n{block}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+    A token's place is twice the number of its container, and one more for texts.
+    """
+    chars: dict[int, int] = {}
+    for node, text in page.blocks:
+        place = page.place(node)
+        chars[place] = chars.get(place, 0) + len(text) * _weight(page, node)
+    for node in range(len(page.roles) - 1, 0, -1):
+        if node in chars:
+            chars.setdefault(page.parents[node], 0)
+    out = [(page.roles[node], 2 * node, n) for node, n in chars.items()]
+    return sorted(out + [(token, 2 * node + 1, 0) for node, token in page.whole_texts().items()], key=lambda t: t[1])
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, page, role, count of blocks, characters) per page and role that is not furniture, text block outside articles, and for the page."""
+    """(host, page, token, how often, first place, weighted characters) per page and token, and for the page."""
     for batch in batches:
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for host, page, text in zip(batch.column("host").to_pylist(), batch.column("page").to_pylist(), batch.column("html"), strict=True):
             text = text.as_py()
             if not text:
                 continue
-            roles: dict[str, list[int]] = {PAGE: [1, 0]}
-            for role, furniture, block in blocks(text):
-                if not furniture:
-                    own = roles.setdefault(_container(role), [0, 0])
-                    own[0] += 1
-                    own[1] += len(block)
-                    if _weight(role) == 1:
-                        roles.setdefault(_text_token(role, block), [0, 0])[0] += 1
-            for role, (count, chars) in roles.items():
-                # blocks of an article differ in number by nature: the article itself occurs once
-                once = 1 if role != PAGE and not role.startswith(TEXT) and _weight(role) > 1 else count
-                for column, value in zip(out, (host, page, role, once, chars), strict=True):
+            seen: dict[str, list[int]] = {PAGE: [1, 0, 0]}
+            for token, place, chars in _tokens(parsed(text)):
+                own = seen.setdefault(token, [0, place, 0])
+                own[0] += 1
+                own[2] += chars
+            for token, (count, place, chars) in seen.items():
+                for column, value in zip(out, (host, page, token, count, place, chars), strict=True):
                     column.append(value)
-        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, t) for x, t in zip(out, types, strict=True)], ["host", "page", "role", "n", "chars"]
+            [pa.array(x, t) for x, t in zip(out, types, strict=True)], ["host", "page", "token", "n", "first", "chars"]
         )
 
 
+def _template(page: Page, classes: list[dict], inside: list[bool], slot: str) -> tuple[set[int], list[list[int]]]:
+    """Containers of fixed text, and the outermost containers of records per nested class, strictly inside the slot.
+
+    Classes that are out of order on the page, or whose turns do not lie in one slot each, are passed over.
+    """
+    of = {token: k for k, c in enumerate(classes) for token in c["tokens"]}
+    turns: dict[int, list[tuple[str, int]]] = {}
+    for token, place, _ in _tokens(page):
+        if token in of:
+            turns.setdefault(of[token], []).append((token, place // 2))
+    fixed: set[int] = set()
+    records: list[list[int]] = []
+    for k, met in turns.items():
+        order = classes[k]["tokens"]
+        times = len(met) // len(order)
+        if [token for token, _ in met] != order * times:
+            continue
+        nodes = [[node for _, node in met[i : i + len(order)]] for i in range(0, len(met), len(order))]
+        if not classes[k]["repeated"]:
+            fixed.update(node for token, node in met if token.startswith(TEXT))
+            continue
+        tops = [[n for n in dict.fromkeys(turn) if page.parents[n] not in set(turn)] for turn in nodes]
+        nested = all(len({page.parents[n] for n in top}) == 1 for top in tops)
+        if nested and all(inside[page.parents[n]] for top in tops for n in top):
+            records.append([n for top in tops for n in top])
+    return {n for n in fixed if inside[page.parents[n]]}, records
+
+
+def _spread(page: Page, nodes: set[int]) -> list[bool]:
+    """For each container, whether it is one of ``nodes`` or lies in one."""
+    out: list[bool] = []
+    for node in range(len(page.roles)):
+        out.append(node in nodes or node > 0 and out[page.parents[node]])
+    return out
+
+
+def _slot_text(page: Page, slot: str, classes: list[dict]) -> str:
+    inside = page.inside(slot)
+    slotted = [(node, text) for node, text in page.blocks if inside[node]]
+    known = {token for c in classes for token in c["tokens"] if token.startswith(TEXT)}
+    # nothing is template in an article, nor on a copy of another page
+    copy = known and any(page.roles[node] == slot and token in known for node, token in page.whole_texts().items())
+    if not known or copy or all(page.outer[node] >= 0 for node, _ in slotted):
+        return " ".join(text for _, text in slotted)
+    fixed, records = _template(page, classes, inside, slot)
+    gone = _spread(page, fixed)
+    every = _spread(page, fixed.union(*records))
+    free = [k for k, (node, _) in enumerate(slotted) if not every[node]]
+    for tops in records:
+        own = _spread(page, set(tops))
+        begin = min((k for k, (node, _) in enumerate(slotted) if own[node]), default=0)
+        if free and free[-1] < begin:
+            gone = [a or b for a, b in zip(gone, own, strict=True)]
+    left = [text for node, text in slotted if not gone[node]]
+    return " ".join(left or [text for _, text in slotted])
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        fixed = batch.column("fixed")
+        classes = batch.column("classes")
         for row, (slot, page) in enumerate(zip(batch.column("slot").to_pylist(), batch.column("html"), strict=True)):
-            page = page.as_py()
-            found = blocks(page) if page else []
-            own = None
-            if slot is None or not any(_inside(role, slot) for role, furniture, _ in found if not furniture):
-                own = _main_role(found)
-            wanted = own if own is not None else slot
-            slotted = [(role, t) for role, furniture, t in found if not furniture and wanted is not None and _inside(role, wanted)]
-            known = set(fixed[row].as_py() or ()) if slotted else set()
-            left = [t for role, t in slotted if not known or _weight(role) > 1 or _text_token(role, t) not in known]
-            # a page of nothing but repeated text, such as a copy of another, is no template
-            texts.append(" ".join(left or [t for _, t in slotted]))
+            found = parsed(page.as_py() or "")
+            inside = found.inside(slot) if slot is not None else []
+            if slot is None or not any(inside[node] for node, _ in found.blocks):
+                slot = _main_role(found)
+            texts.append(_slot_text(found, slot, classes[row].as_py() or []) if slot is not None else "")
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]
         )
 
 
-def _inside(role: str, slot: str) -> bool:
-    return role == slot or role.startswith(slot + "/")
-
-
 def main_slots(pages: DataFrame) -> DataFrame:
-    """``host``, ``slot``, ``fixed`` (tokens of template text) of each host that has a template; needs host, page, html.
+    """``host``, ``slot``, ``classes`` (template classes with fixed texts) of each host that has a template; needs host, page, html.
 
-    A host's tokens of template text stand on half of its pages, so they are at most twice those of a page.
+    A host's template tokens stand on half of its pages, so they are at most twice those of a page.
     """
-    found = pages.mapInArrow(_occurrences, "host string, page bigint, role string, n bigint, chars bigint")
-    roles = found.groupBy("host", "role").agg(
+    found = pages.mapInArrow(_occurrences, "host string, page bigint, token string, n bigint, first bigint, chars bigint")
+    tokens = found.groupBy("host", "token").agg(
         F.count("*").alias("pages"),
         F.sum("chars").alias("chars"),
+        F.sum("first").alias("place"),
+        F.max("n").alias("most"),
         F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("vector"),
     )
-    roles = landed(roles, "roles")
-    sizes = roles.where(F.col("role") == PAGE).select("host", F.col("pages").alias("all"))
-    roles = roles.where(F.col("role") != PAGE)
-    enough = roles.join(sizes, "host").where(F.col("pages") >= F.col("all") * TEMPLATE_SHARE).where("all > 1")
-    text = F.col("role").startswith(TEXT)
-    classes = enough.groupBy("host", "vector", "pages", "all").agg(
-        F.count("*").alias("tokens"),
-        F.collect_list(F.when(text, F.col("role"))).alias("texts"),
-        F.collect_list(F.when(~text, F.struct("role", "chars"))).alias("roles"),
+    tokens = landed(tokens, "tokens")
+    sizes = tokens.where(F.col("token") == PAGE).select("host", F.col("pages").alias("all"))
+    tokens = tokens.where(F.col("token") != PAGE)
+    enough = tokens.join(sizes, "host").where(F.col("pages") >= F.col("all") * TEMPLATE_SHARE).where("all > 1")
+    text = F.col("token").startswith(TEXT)
+    slots = enough.where(~text).groupBy("host").agg(F.min_by("token", F.struct(-F.col("chars"), F.col("token"))).alias("slot"))
+    classes = enough.where("pages > 1").groupBy("host", "vector", "pages").agg(
+        F.array_sort(F.collect_list(F.struct("place", "token"))).alias("order"),
+        (F.max("most") > 1).alias("repeated"),
+        F.max(text).alias("fixed"),
+    )
+    classes = classes.where("fixed").groupBy("host").agg(
+        F.collect_list(F.struct(F.col("order.token").alias("tokens"), "repeated")).alias("classes")
     )
-    # the page itself is in every class of tokens that stand once on each page
-    size = F.col("tokens") + (F.col("pages") == F.col("all")).cast("int")
-    fixed = classes.where((size >= CLASS_TOKENS) & (F.col("pages") > 1)).groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("fixed"))
-    slots = classes.select("host", F.explode("roles").alias("r")).select("host", "r.role", "r.chars")
-    heavy = F.when(F.col("role").rlike("/(article|main)([./]|$)"), ARTICLE_WEIGHT).otherwise(1) * F.col("chars")
-    slots = slots.groupBy("host").agg(F.min_by("role", F.struct(-heavy, F.col("role"))).alias("slot"))
-    return slots.join(fixed, "host", "left")
+    return slots.join(classes, "host", "left")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -300,6 +457,6 @@ def main_texts(pages: DataFrame) -> DataFrame:
     )
     slots = landed(main_slots(rows.select("host", "page", "html")), "slots")
     slots = slots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    placed = rows.drop("page").join(slots, ["host", "salt"], "left").select("page_id", "url", "html", "slot", "fixed")
+    placed = rows.drop("page").join(slots, ["host", "salt"], "left").select("page_id", "url", "html", "slot", "classes")
     out = placed.mapInArrow(_extracted, "page_id bigint, url string, text string")
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))

@@ -91,3 +91,76 @@ def test_template_text_inside_the_slot_is_left_out(texts):
 
     got = texts([page(main(n), n=n) for n in range(6)])
     assert got == {n: " ".join(f"{'long text ' * 40}{n} own end {n % 3}".split()) for n in range(6)}
+
+
+@pytest.mark.parametrize("opening", ['<article class="post-share-analysis">', "<article id=comments role=search>"])
+def test_names_never_mark_an_article(texts, opening):
+    rows = [page(f"{opening}<p>story {n}</p></article>", n=n) for n in range(4)]
+    assert texts(rows) == {n: f"story {n}" for n in range(4)}
+
+
+def test_names_that_say_more_than_furniture(texts):
+    inner = '<section id=related-work><p>earlier studies</p></section><div class="ad-box">buy</div><div class="shareButtons">tell</div>'
+    assert texts([page(f"<article><p>story</p>{inner}</article>")]) == {0: "story earlier studies"}
+
+
+def test_form_around_the_page(texts):
+    def wrapped(inner, n):
+        return n, f"http://f.example.com/{n}", f"<body><form id=aspnetForm><div class=menu>menu</div>{inner}<button>go</button></form></body>"
+
+    assert texts([wrapped("<article>story</article>", 1)]) == {1: "story"}
+    got = texts([wrapped(f"<div class=story><p>{'long text ' * 9}{n}</p></div>", n) for n in range(3)])
+    assert got[2] == "long text " * 9 + "2"
+    assert texts([page("<div class=story>the story of the day</div><form><div>your name</div></form>")]) == {0: "the story of the day"}
+
+
+def test_deep_containers_are_told_apart(texts):
+    def main(n):
+        return "<div>" * 60 + f"<div class=story><p>{'long text ' * 9}{n}</p></div><div class=beside>{n} other</div>"
+
+    assert texts([page(main(n), n=n) for n in range(3)])[1] == "long text " * 9 + "1"
+
+
+def test_unmatched_end_tags_in_linear_time(texts):
+    many = 50_000
+    got = texts([(1, "http://x/", "<p><body>" + "<div>" * many + "</x>" * many + "<b>" * many + "</p>" * many + "<i>end")])
+    assert got[1] == "end"
+
+
+def test_a_common_sentence_stays_beside_other_text(texts):
+    def main(n):
+        return f"<div class=story><p>{'long text ' * 9}{n}</p><p>This is news.</p><div class=k2><p>All rights kept</p></div></div>"
+
+    assert texts([page(main(n), n=n) for n in range(4)])[3] == "long text " * 9 + "3 This is news."
+
+
+def test_nested_class_of_records_is_left_out(texts):
+    """Turns of a class with a fixed text behind the story go, whatever they are called; turns that the story goes on behind stay."""
+
+    def turn(n, k):
+        return f"<div class=turn><div class=said>says {n} {k}</div><div class=act>Reply</div></div>"
+
+    def main(n, after=""):
+        return f"<div class=story><p>{'long text ' * 20}{n}</p>{''.join(turn(n, k) for k in range(1 + n % 3))}{after}</div>"
+
+    got = texts([page(main(n), n=n) for n in range(6)])
+    assert got == {n: "long text " * 20 + str(n) for n in range(6)}
+    got = texts([page(main(n, f"<p>end {n}</p>"), n=n) for n in range(6)])
+    assert got[0] == "long text " * 20 + "0 says 0 0 Reply end 0"
+
+
+def test_class_out_of_order_is_no_template(texts):
+    """Records whose turns are not in the order of the host's other pages are text."""
+
+    def main(n):
+        said, reply = f"<div class=said>says {n}</div>", "<div class=act>Reply</div>"
+        turn = f"<div class=turn>{reply + said if n == 5 else said + reply}</div>"
+        return f"<div class=story><p>{'long text ' * 20}{n}</p>{turn * (1 + n % 3)}</div>"
+
+    got = texts([page(main(n), n=n) for n in range(6)])
+    assert got[4] == "long text " * 20 + "4" and got[5] == "long text " * 20 + "5" + " Reply says 5" * 3
+
+
+def test_copies_of_a_page_keep_their_text(texts):
+    rows = [page("<div class=story><p>same text of both</p><div class=k>more of it</div></div>", n=n) for n in range(2)]
+    assert set(texts(rows).values()) == {"same text of both more of it"}
