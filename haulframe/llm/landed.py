@@ -21,6 +21,15 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(df: DataFrame) -> None:
+    """Delete the files of a landed table that nothing reads any more: what was made of it has been written itself."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def numbered(df: DataFrame, first: int = 0) -> tuple[DataFrame, str]:
     """The rows with a number of their own from ``first`` on, written so that it stays, and its column's name.
 

@@ -79,6 +79,17 @@ class Words:
         return rows, runs
 
 
+def runs_of(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` neighbouring words of one text, from running sums."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = _power_tables(len(hashes))
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up, out=sums[1:])
+    return mixed((sums[size:] - sums[:n]) * down[:n] + np.uint64(size))
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a text column; a null counts as empty."""
     texts = (texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts).cast(pa.large_string())
