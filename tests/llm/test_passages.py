@@ -155,3 +155,14 @@ def test_matched_places_of_a_line_repeated_often():
     found = passages.matched_places(many, many)
     assert len(found) <= 2 * len(many) and all(many[x] == many[y] for x, y in found)
     assert {x for x, y in found if x == y} == set(passages.seeds_of(many)[0].tolist())
+
+
+def test_every_holder_of_a_changed_passage_is_tried(documents):
+    """First and nearest holders of all its seeds hold parts only, and no run of 50 words is left; with few holders and with many."""
+    for parts in (1, 7):
+        whole = words(80)
+        halves = [whole[:45], whole[35:]] * parts
+        rows = list(enumerate([*halves, whole, *halves, words(9) + changed(whole, 14) + words(9)]))
+        got = passages.repeated_passages(documents([(k, " ".join(w)) for k, w in rows])).collect()
+        found = [(r.doc_id, r.other_id) for r in got if r.words > 70]
+        assert found == [(4 * parts + 1, 2 * parts)]
