@@ -166,3 +166,10 @@ def test_every_holder_of_a_changed_passage_is_tried(documents):
         got = passages.repeated_passages(documents([(k, " ".join(w)) for k, w in rows])).collect()
         found = [(r.doc_id, r.other_id) for r in got if r.words > 70]
         assert found == [(4 * parts + 1, 2 * parts)]
+
+
+def test_a_line_repeated_a_few_times_stays_on_one_diagonal(documents):
+    line = words(12)
+    rows = [(1, " ".join(line * 5)), (2, " ".join(line * 5))]
+    got = passages.repeated_passages(documents(rows)).collect()
+    assert [(r.doc_id, r.other_id, r.words) for r in got] == [(2, 1, 60)]
