@@ -22,11 +22,12 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label
     )
     for _ in range(MAX_ROUNDS):
-        inner = edges.select(F.col("v").alias("node")).join(
-            edges.select(F.col("u").alias("node")).distinct(), "node", "left_semi"
+        # one aggregate, as every shuffle of a round is state that the driver holds
+        roles = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+            edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
         )
-        forked = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
-        if inner.isEmpty() and forked.isEmpty():
+        loose = roles.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+        if loose.where("hangs > 1 OR hangs = 1 AND holds = 1").isEmpty():
             roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

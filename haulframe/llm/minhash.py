@@ -134,16 +134,14 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80, seed: int
     found = landed(components(links), "found")
 
     apart = _apart(buckets.where("pivot < node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), found)
-    links = landed(links.unionByName(confirmed_links(apart.join(first, ["a", "b"], "left_anti"), texts, size, percent)), "links")
-    found = landed(components(links), "found")
+    more = landed(confirmed_links(apart.join(first, ["a", "b"], "left_anti"), texts, size, percent), "links")
+    found = _joined(found, more)
 
     named = buckets.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
     mixed_up = named.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     apart = landed(named.join(mixed_up.select("bucket"), "bucket", "left_semi").select("node", "c").distinct(), "apart")
     rest = _links_in_blocks(apart, classes, texts, size, percent)
-    last = landed(confirmed_links(rest, texts, size, percent), "links")
-    if not last.isEmpty():
-        found = landed(components(links.unionByName(last)), "found")
+    found = _joined(found, landed(confirmed_links(rest, texts, size, percent), "links"))
 
     # A class is a link between its smallest doc_id and each of its rows; repeated doc_ids may join classes.
     owner = usable.join(classes.select("n_shingles", "digest", "node"), ["n_shingles", "digest"]).select("doc_id", "node")
@@ -294,6 +292,14 @@ def _links_in_blocks(apart: DataFrame, classes: DataFrame, texts: DataFrame, siz
     return rows.groupBy("i", "x", "p", "q").applyInArrow(_block_links(percent), "a bigint, b bigint").distinct()
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links; what is found already is not gone through link by link again."""
+    if links.isEmpty():
+        return found
+    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return landed(components(stars.unionByName(links)), "found")
+
+
 def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose members are not in one component yet."""
     a = found.withColumnsRenamed({"node": "a", "component": "ca"})

@@ -107,3 +107,11 @@ def test_whole_tables(spark, sf_dir):
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     assert rows_of(QUERIES["op10_minhash_dedup"](spark, sf_dir)) == by_brute_force([tuple(r) for r in docs])
+
+
+def test_settled_links_are_checked_in_one_step(spark, monkeypatch):
+    links = spark.createDataFrame([(2, 1), (3, 1)], "a bigint, b bigint")
+    checks, is_empty = [], type(links).isEmpty
+    monkeypatch.setattr(type(links), "isEmpty", lambda df: checks.append(df) or is_empty(df))
+    assert sorted(tuple(r) for r in components(links).collect()) == [(1, 1), (2, 1), (3, 1)]
+    assert len(checks) == 1
