@@ -14,6 +14,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from haulframe.sources.scratch import new_path
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
-CACHE_WORDS = 800_000  # pieces that a worker remembers; it starts anew when they are more
+CACHE_WORDS = 1_390_000  # pieces that a worker remembers; it starts anew when they are more
 LONG_PIECE = 64
 _WORD_AND_SIGNS = re.compile(r"""([^\W_]*[a-z0-9À-ÖØ-öø-ÿ])([!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+)""")
 _PLAIN_WORD = re.compile("[a-zß-öø-ÿ]+")
@@ -88,23 +89,32 @@ class Encoder:
 
     def _learn(self, missing: set[str]) -> None:
         """Encode the pieces; one that is a word and signs after it is put together from both."""
-        known, split, new = self.known, [], set()
+        known, tokenize, split = self.known, self.tokenizer.model.tokenize, []
+        whole, words, other = [], set(), set()
         for piece in missing:
-            m = _WORD_AND_SIGNS.fullmatch(piece)
-            if m:
-                split.append((piece, m[1], m[2]))
-                new.update(m.groups())
+            if piece.isalpha():
+                whole.append(piece)
+            elif m := _WORD_AND_SIGNS.fullmatch(piece):
+                word, signs = m.groups()
+                split.append((piece, word, signs))
+                if word not in known and word not in missing:
+                    words.add(word)
+                if signs not in known:
+                    other.add(signs)
             else:
-                new.add(piece)
-        other = []
-        for piece in new.difference(known):
-            if _PLAIN_WORD.fullmatch(piece):
-                # lower-case letters only: nothing to normalise or cut, the word is one unit of the model
-                units = piece if piece.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, piece.encode()))
-                known[piece] = self.bytes_of([t.id for t in self.tokenizer.model.tokenize(units)])
+                whole.append(piece)
+        for piece in chain(whole, words):
+            # lower-case letters only: nothing to normalise or cut, the word is one unit of the model
+            if piece.isascii() and piece.isalpha() and piece.islower():
+                units = piece
+            elif _PLAIN_WORD.fullmatch(piece):
+                units = "".join(map(_BYTE_LETTERS.__getitem__, piece.encode()))
             else:
-                other.append(piece)
-        for piece, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+                other.add(piece)
+                continue
+            known[piece] = self.bytes_of([t.id for t in tokenize(units)])
+        rest = list(other)
+        for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[piece] = self.bytes_of(found.ids)
         for piece, word, signs in split:
             known[piece] = known[word] + known[signs]
@@ -113,7 +123,7 @@ class Encoder:
 def _pieces(text: str) -> list[str]:
     """Cut at spaces and line ends; A-Z lower-cased, as the vocabulary does it, where no special token could arise."""
     if "<|" not in text:
-        text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        text = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
     return text.replace("\n", " ").split(" ")
 
 

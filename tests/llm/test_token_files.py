@@ -72,6 +72,21 @@ def test_a_full_memory_starts_anew(monkeypatch):
     assert [encoder.encoded([t])[0] for t in texts] == token_files.Encoder(PATH).encoded(texts)
 
 
+def test_words_without_signs_are_learned_without_a_pattern(monkeypatch):
+    tried, pattern = [], token_files._WORD_AND_SIGNS
+
+    class Noting:
+        def fullmatch(self, piece):
+            tried.append(piece)
+            return pattern.fullmatch(piece)
+
+    monkeypatch.setattr(token_files, "_WORD_AND_SIGNS", Noting())
+    text, whole = "a plain word, a word. été Ünder (x)", Tokenizer.from_file(PATH)
+    found = np.frombuffer(token_files.Encoder(PATH).encoded([text])[0], "<u2").tolist()
+    assert found == whole.encode(text, add_special_tokens=False).ids
+    assert sorted(tried) == ["(x)", "word,", "word."]
+
+
 def by_brute_force(rows, end_id=2):
     whole, start, out = Tokenizer.from_file(PATH), 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
