@@ -173,3 +173,15 @@ def test_a_line_repeated_a_few_times_stays_on_one_diagonal(documents):
     rows = [(1, " ".join(line * 5)), (2, " ".join(line * 5))]
     got = passages.repeated_passages(documents(rows)).collect()
     assert [(r.doc_id, r.other_id, r.words) for r in got] == [(2, 1, 60)]
+
+
+def test_texts_without_enough_words_in_common_are_not_matched(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    line = " ".join(f"s{k}" for k in range(12))
+    texts = [" ".join(f"{name}{rng.random()}" for _ in range(80)) + " " + line for name in "ab"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [2], "other_id": [1], "text": texts[:1], "other_text": texts[1:]})
+    monkeypatch.setattr(passages, "_matches", lambda *_: (np.zeros(0, int), 1 / 0))
+    (found,) = passages._verified(passages.SEED_WORDS, passages.MIN_WORDS, passages.PERCENT)(iter([batch]))
+    assert found.num_rows == 0
