@@ -143,7 +143,7 @@ def audit(docs: DataFrame, labels: DataFrame, filters: dict[str, Column] | None
     marks = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic")
     )
-    marked = lookup(rows.select("id", "part", "doc_id"), marks, ["doc_id"], "left")
+    marked = lookup(rows.select("id", "part", "doc_id"), marks, ["doc_id"], "left", grows=True)
     no = F.lit(False)
     kept, removed = prefixes(
         marked.select("id", "part", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")), failing, len(letters), tables

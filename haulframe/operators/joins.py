@@ -17,19 +17,27 @@ SALTS = 16
 
 
 def lookup(
-    df: DataFrame, small: DataFrame, on: list[str], how: str = "inner", null_safe: bool = False, salts: int = SALTS
+    df: DataFrame,
+    small: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    null_safe: bool = False,
+    salts: int = SALTS,
+    grows: bool = False,
 ) -> DataFrame:
     """Join with a side that has one row per key.
 
     One plan for all sizes: the side is repeated per salt and every row of ``df`` gets a salt from its own
     values, so a key with a large share of the rows is met by ``salts`` tasks. Spark broadcasts the
-    side where it measures it to be small.
+    side where it measures it to be small. That is by its files and before it is repeated, a fraction of
+    what the driver would hold, so a side that ``grows`` with the input is shuffled whatever its files say.
     """
     renamed = small.select(
         *[F.col(k).alias(f"_k_{k}") for k in on],
         *[c for c in small.columns if c not in on],
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_k_salt"),
     )
+    renamed = renamed.hint("merge") if grows else renamed
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
     pairs = [(F.col(k), F.col(f"_k_{k}")) for k in on]
     same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]

@@ -93,3 +93,14 @@ def test_other_filters(spark):
     docs, labels = frames(spark, DOCS, LABELS)
     out = filter_audit.audit(docs, labels, {"S": F.length(F.coalesce("text", F.lit(""))) < 10})
     assert {r["filter_order"] for r in out.collect()} == {"ES", "SE"}
+
+
+def test_labels_are_not_held_by_the_driver(spark, monkeypatch, folder):
+    """Their file is small, but not sixteen copies of every row in memory."""
+    joined, lookup = [], filter_audit.lookup
+    monkeypatch.setattr(filter_audit, "lookup", lambda *a, **b: joined.append(lookup(*a, **b)) or joined[-1])
+    docs, labels = frames(spark, DOCS, LABELS)
+    labels.write.parquet(at := folder("labels"))
+    assert rows_of(filter_audit.audit(docs, spark.read.parquet(at))) == by_brute_force(DOCS, LABELS)
+    plan = joined[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
