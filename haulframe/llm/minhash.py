@@ -214,7 +214,8 @@ def _buckets(classes: DataFrame) -> DataFrame:
     keyed = keyed.select("node", F.xxhash64("l.half", "l.x", "r.half", "r.x").alias("bucket"))
     ends = keyed.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("top"))
     ends = landed(ends.where("pivot < top").select("bucket", "pivot"), "pivots")
-    return keyed.join(ends, "bucket").select("bucket", "node", "pivot")
+    # never broadcast: Spark would take HALVES x HALVES rows of a class for a part of its row in the file
+    return keyed.hint("merge").join(ends, "bucket").select("bucket", "node", "pivot")
 
 
 def _short_sets(size: int):

@@ -115,3 +115,17 @@ def test_settled_links_are_checked_in_one_step(spark, monkeypatch):
     monkeypatch.setattr(type(links), "isEmpty", lambda df: checks.append(df) or is_empty(df))
     assert sorted(tuple(r) for r in components(links).collect()) == [(1, 1), (2, 1), (3, 1)]
     assert len(checks) == 1
+
+
+def _joins(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_table_keys_are_not_held_by_the_driver(spark):
+    """They are many rows of a small file."""
+    rng = random.Random(3)
+    rows = [(k, k, bytes([k]), *([rng.randrange(9) for _ in range(minhash.HALVES)] for _ in "lr")) for k in range(60)]
+    schema = "node bigint, n_shingles bigint, digest binary, left_keys array<bigint>, right_keys array<bigint>"
+    by_size = minhash._buckets(spark.createDataFrame(rows, schema))
+    assert "SortMergeJoin" in _joins(by_size) and "Broadcast" not in _joins(by_size)
+    assert not by_size.isEmpty()
