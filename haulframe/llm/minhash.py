@@ -182,7 +182,7 @@ def one_of_each(docs: DataFrame, size: int, percent: int = 80) -> DataFrame:
     nodes = own.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     nodes = nodes.unionByName(others.select(F.col(row).alias("doc_id"), "text"))
     kept = near_duplicates(nodes, size=size, percent=percent).where("kept").select("doc_id")
-    kept = landed(kept, "kept")
+    kept = landed(kept, "kept").hint("merge")  # most ids of the input, which as a broadcast take many times their file
     rest = others.join(kept.withColumnRenamed("doc_id", row), row, "left_semi").select(columns_of(docs))
     return own.join(kept, "doc_id", "left_semi").select(columns_of(docs)).unionByName(rest)
 

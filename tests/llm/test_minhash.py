@@ -129,3 +129,11 @@ def test_table_keys_are_not_held_by_the_driver(spark):
     by_size = minhash._buckets(spark.createDataFrame(rows, schema))
     assert "SortMergeJoin" in _joins(by_size) and "Broadcast" not in _joins(by_size)
     assert not by_size.isEmpty()
+
+
+def test_kept_ids_are_not_held_by_the_driver(spark):
+    text = " ".join(f"x{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "a b c d e f"), (None, text), (4, None)], "doc_id bigint, text string")
+    out = minhash.one_of_each(docs, size=5)
+    assert _joins(out).count("SortMergeJoin") >= 2
+    assert sorted((r.doc_id for r in out.collect()), key=str) == [1, 3, 4]
