@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from haulframe.llm import passages
 
 rng = random.Random(11)
@@ -185,3 +186,32 @@ def test_texts_without_enough_words_in_common_are_not_matched(monkeypatch):
     monkeypatch.setattr(passages, "_matches", lambda *_: (np.zeros(0, int), 1 / 0))
     (found,) = passages._verified(passages.SEED_WORDS, passages.MIN_WORDS, passages.PERCENT)(iter([batch]))
     assert found.num_rows == 0
+
+
+def test_a_document_met_by_many_is_read_once(monkeypatch):
+    text, other = " ".join(f"w{k}" for k in range(80)), " ".join(f"v{k}" for k in range(80))
+    texts = [("a " + text, text), ("b " + text, text), (other, text), ("c " + other, other), ("d " + text, text)]
+    rows = [(k, t, 10 + (o == other), o) for k, (t, o) in enumerate(texts)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("doc_id", "text", "other_id", "other_text"), r, strict=True)) for r in rows])
+    read, row_words = [], passages._row_words
+    monkeypatch.setattr(passages, "_row_words", lambda x: read.append(len(x)) or row_words(x))
+    (out,) = passages._verified(passages.SEED_WORDS, 50, 80)(iter([batch]))
+    assert [(r["doc_id"], r["other_id"], r["first_word"], r["words"], r["same_words"]) for r in out.to_pylist()] == [
+        (0, 10, 1, 80, 80), (1, 10, 1, 80, 80), (3, 11, 1, 80, 80), (4, 10, 1, 80, 80)
+    ]
+    assert read == [5, 3]
+
+
+def test_straight_stretches_are_counted_as_gap_by_gap(monkeypatch):
+    rng = random.Random(5)
+    for _ in range(200):
+        a = np.array([rng.randrange(1 << 40) for _ in range(120)], np.uint64)
+        b = np.concatenate([a[:7], a]) if rng.random() < 0.3 else a.copy()
+        for k in rng.sample(range(len(b)), rng.choice([0, 0, 1, 4])):
+            b[k] += np.uint64(1)
+        for chain in passages.chained(passages.matched_places(a, b))[:2]:
+            for part in passages.unbroken(chain):
+                got = passages.aligned(a, b, part, passages.SEED_WORDS)
+                with monkeypatch.context() as m:
+                    m.setattr(passages, "_straight", lambda *_: 0)
+                    assert passages.aligned(a, b, part, passages.SEED_WORDS) == got
